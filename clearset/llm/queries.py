@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from clearset.llm import line_dedup
+from clearset.llm import lang_id, line_dedup, token_files, toxicity
 
 QUERIES = {
+    "op1_token_files": token_files.op1_token_files,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_language_id": lang_id.op6_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
 }
 
 SQL = {
