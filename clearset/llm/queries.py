@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from clearset.llm import lang_id, line_dedup, token_files, toxicity
+from clearset.llm import decontamination, lang_id, line_dedup, sentencepiece_viterbi, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_id": lang_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_decontamination": decontamination.op8_decontamination,
+    "op9_sentencepiece": sentencepiece_viterbi.op9_sentencepiece,
 }
 
 SQL = {
     "op5_line_dedup": line_dedup.OP5_SQL,
+    "op8_decontamination": decontamination.OP8_SQL,
 }
