@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from operator import attrgetter
 
@@ -34,14 +35,27 @@ MAGIC, VERSION = b"S8BT", 1
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, version, part, base, documents, ids, words
 #: A segment is closed once it holds so many ids.
 SEGMENT_IDS = 1 << 18
-#: Characters that are encoded at once, and words that a worker remembers.
-PIECE_CHARS, CACHE_WORDS = 1 << 22, 600_000
+#: Characters that are encoded at once, and words and pre-tokens that a worker remembers.
+PIECE_CHARS, CACHE_WORDS = 1 << 21, 700_000
 
 _byte_chars = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 #: Byte-level alphabets write each byte as a printable character: itself, or one from 256 on.
 BYTE_TABLE = {b: (b if b in set(_byte_chars) else 256 + i - sum(c < b for c in _byte_chars)) for i, b in enumerate(range(256))}
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they are first asked for; ``new`` has the latest."""
+
+    def __init__(self, words: list[str]):
+        super().__init__(zip(words, range(len(words))))
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class ByteBpe:
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
@@ -59,25 +73,25 @@ class ByteBpe:
         self.split = regex.compile(pattern).findall
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.runs = regex.compile(r"\s\s").search
-        self.reset([])
+        self.pieces: dict[str, bytes] = {}
+        self.reset([], np.zeros(0, np.int32), np.zeros(0, np.uint32))
 
-    def reset(self, keep: list[tuple[str, list[int]]]) -> None:
-        self.index = {w: i for i, (w, _) in enumerate(keep)}
-        self.pieces = {}
-        lens = np.fromiter((len(x) for _, x in keep), np.int32, len(keep))
-        self.lens, self.flat = [lens], [np.fromiter((i for _, x in keep for i in x), np.uint32, int(lens.sum()))]
+    def reset(self, words: list[str], lens: np.ndarray, flat: np.ndarray) -> None:
+        self.index, self.lens, self.flat = Numbers(words), lens, flat
 
-    def piece(self, pre: str) -> list[int]:
-        """Ids of one pre-token."""
+    def piece(self, pre: str) -> bytes:
+        """Ids of one pre-token, as unsigned 32-bit integers."""
         if (ids := self.pieces.get(pre)) is None:
+            if len(self.pieces) >= CACHE_WORDS:
+                self.pieces.clear()
             mapped = "Ġ" + pre[1:] if pre[0] == " " and pre.isascii() and pre[1:].isalpha() else pre.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_TABLE)
-            ids = self.pieces[pre] = list(map(attrgetter("id"), self.bpe.tokenize(mapped)))
+            ids = self.pieces[pre] = array("I", map(attrgetter("id"), self.bpe.tokenize(mapped))).tobytes()
         return ids
 
-    def word(self, w: str) -> list[int]:
+    def word(self, w: str) -> bytes:
         if w[1:].isalpha() and w[0] == " " and w.isascii():
             return self.piece(w)
-        return [i for pre in self.split(w) for i in self.piece(pre)]
+        return b"".join(map(self.piece, self.split(w)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each text)."""
@@ -88,27 +102,26 @@ class ByteBpe:
             if self.runs(t) or any(s in t for s in self.special):
                 apart[i] = self.whole.encode(t, add_special_tokens=False).ids
             elif t:
-                first, *rest = t.split(" ")
-                own = [first, *[" " + w for w in rest]] if first else [" " + w for w in rest]
+                own = t.replace(" ", "\0 ").split("\0") if "\0" not in t else [w if j == 0 else " " + w for j, w in enumerate(t.split(" "))]
+                if not own[0]:
+                    del own[0]
                 sizes[i] = len(own)
                 words += own
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if new:
-            at = len(self.index)
-            self.index.update(zip(new, range(at, at + len(new))))
+        code = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+        if new := self.index.new:
             found = [self.word(w) for w in new]
-            self.lens.append(np.fromiter(map(len, found), np.int32, len(found)))
-            self.flat.append(np.fromiter((i for x in found for i in x), np.uint32, int(self.lens[-1].sum())))
-        lens, flat = np.concatenate(self.lens), np.concatenate(self.flat)
-        self.lens, self.flat = [lens], [flat]
-        code = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        n = lens[code]
-        begin = np.cumsum(lens, dtype=np.int64) - lens
-        shift = begin[code] - (np.cumsum(n, dtype=np.int64) - n)
-        ids = flat[np.repeat(shift, n) + np.arange(n.sum())]
-        before = np.r_[0, np.cumsum(n, dtype=np.int64)]
+            self.lens = np.concatenate([self.lens, np.fromiter(map(len, found), np.int32, len(found)) // 4])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), np.uint32)])
+            self.index.new = []
+        n = self.lens[code]
+        begin = np.cumsum(self.lens, dtype=np.int32) - self.lens
+        before = np.zeros(len(n) + 1, np.int32)
+        np.cumsum(n, out=before[1:])
+        at = np.repeat(begin[code] - before[:-1], n)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = self.flat[at]
         edge = np.r_[0, np.cumsum(sizes)]
-        counts = before[edge[1:]] - before[edge[:-1]]
+        counts = (before[edge[1:]] - before[edge[:-1]]).astype(np.int64)
         if apart:
             parts = np.split(ids, np.cumsum(counts)[:-1])
             for i, own in apart.items():
@@ -116,9 +129,10 @@ class ByteBpe:
                 counts[i] = len(own)
             ids = np.concatenate(parts)
         if len(self.index) > CACHE_WORDS:  # remember what this batch used
-            used = np.unique(code)
-            names = {c: w for w, c in self.index.items()}
-            self.reset([(names[c], flat[begin[c] : begin[c] + lens[c]].tolist()) for c in used[: CACHE_WORDS // 2]])
+            used = np.unique(code)[: CACHE_WORDS // 2]
+            names = list(self.index)
+            flat = [self.flat[b : b + k] for b, k in zip(begin[used].tolist(), self.lens[used].tolist())]
+            self.reset([names[c] for c in used.tolist()], self.lens[used], np.concatenate(flat))
         return ids, counts
 
 
