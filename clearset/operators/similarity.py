@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 2048
 
 
-def sign_hash(vector: str) -> Column:
-    """64-bit hash of a vector: one bit for each component, 1 where it is positive, the
+def sign_hash(vector: str, n: int = 64) -> Column:
+    """Hash of the first ``n`` components of a vector: one bit each, 1 where positive, the
     first component highest."""
-    bits = F.transform(F.slice(vector, 1, 64), lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+    bits = F.transform(F.slice(vector, 1, n), lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 
@@ -113,7 +113,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, kernel: Kernel, i
     """
     payload = [c for c in ("vec", "hash") if c in queries.columns]
     q = queries.select(F.col(id_col).alias("id"), *payload)
-    c = candidates.select(F.col(id_col).alias("id"), *payload)
+    c = candidates.select(F.col(id_col).alias("id"), *[F.col(x).alias(x) for x in payload])  # columns of its own in a self-join
     nq, nc = (max(1, -(-d.count() // block_rows)) for d in (q, c))
     q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
     c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
