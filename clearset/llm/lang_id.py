@@ -35,15 +35,19 @@ def ngram_index(texts: list[str], buckets: int = BUCKETS, starts: int | None = N
     """Sparse index of a few texts, for each n-gram size: (bucket ids, the text each belongs
     to), in order of the texts.  Letters count in lower case; n-grams do not cross texts.
     ``starts``: only n-grams that start before this character."""
-    joined = np.frombuffer("\0".join([*texts, ""]).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    owner = np.cumsum(joined == 0, dtype=np.int32)
+    lowered = [t.lower() for t in texts]
+    joined = np.frombuffer("\0".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    # the character behind each text belongs to none
+    sizes = np.fromiter(map(len, lowered), np.int64, len(lowered))
+    owner = np.repeat(np.arange(len(lowered), dtype=np.int32), sizes + 1)
+    owner[np.cumsum(sizes + 1) - 1] = -1
     ids, owners = [], []
     h = np.zeros(len(joined), np.uint32)
     for n in range(1, max(NGRAMS) + 1):
         h = h[: len(joined) - n + 1] * np.uint32(0x01000193) + joined[n - 1 :]
         if n in NGRAMS:
             mixed = (h + np.uint32(n)) * np.uint32(0x9E3779B1)
-            inside = (owner[: len(h)] == owner[n - 1 :]) & (joined[n - 1 :] != 0)
+            inside = (owner[: len(h)] == owner[n - 1 :]) & (owner[n - 1 :] >= 0)
             inside[starts:] &= starts is None
             ids.append(((mixed ^ (mixed >> np.uint32(15))) % np.uint32(buckets))[inside])
             owners.append(owner[: len(h)][inside])
