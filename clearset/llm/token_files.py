@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearset.llm import simple8b
+from clearset.llm.numbering import Numbers
 from clearset.storage import new_path
 
 MAGIC, VERSION = b"S8BT", 1
@@ -43,19 +44,6 @@ _byte_chars = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >
 BYTE_TABLE = {b: (b if b in set(_byte_chars) else 256 + i - sum(c < b for c in _byte_chars)) for i, b in enumerate(range(256))}
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they are first asked for; ``new`` has the latest."""
-
-    def __init__(self, words: list[str]):
-        super().__init__(zip(words, range(len(words))))
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self[word] = n = len(self)
-        self.new.append(word)
-        return n
-
-
 class ByteBpe:
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
