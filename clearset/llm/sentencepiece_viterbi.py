@@ -30,13 +30,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 SIDE_BY_SIDE = 48
-PIECE_CHARS = 1 << 22
+PIECE_CHARS = 1 << 21
 _MIX, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1F83D9ABFB41BD6B)
 
 
@@ -301,33 +303,48 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def batches_of(texts: list[str]) -> Iterator[tuple[int, int]]:
+def batches_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Consecutive runs of rows of about PIECE_CHARS bytes."""
     first, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= PIECE_CHARS or i + 1 == len(texts):
+    for i, size in enumerate(sizes.tolist()):
+        n += size
+        if n >= PIECE_CHARS or i + 1 == len(sizes):
             yield first, i + 1
             first, n = i + 1, 0
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", out: str = "piece_ids") -> DataFrame:
-    """``docs`` with an array of piece ids added."""
+def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False) -> DataFrame:
+    """``docs`` with piece_ids and, with ``verify``, round_trip: whether they decode to the text.
+    ``digest`` gives n_pieces and ids_crc32 in place of the ids.  Encoding and decoding share
+    a task; batches are cut into pieces, so that a worker holds a few megabytes at a time."""
+    kept = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "ids_crc32", "round_trip")]
+    added = ["n_pieces long", "ids_crc32 long"] if digest else ["piece_ids array<int>"]
+    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), *added, *(["round_trip boolean"] if verify else [])]
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
-        for column in batches:
-            texts = [t if isinstance(t, str) else "" for t in column]
-            rows: list[np.ndarray] = []
-            for a, b in batches_of(texts):
-                ids, counts = encode_batch(v, texts[a:b])
-                rows += np.split(ids, np.cumsum(counts)[:-1])
-            yield pd.Series(rows)
-
-    return docs.withColumn(out, F.pandas_udf(run, "array<int>")(F.col(text)))
+        decoder = Decoder(v)
+        for batch in batches:
+            column = batch.column(batch.schema.names.index(text))
+            for a, b in batches_of(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
+                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
+                ids, counts = encode_batch(v, texts)
+                edge = np.r_[0, np.cumsum(counts)]
+                if digest:
+                    raw = memoryview(ids.astype("<u4").tobytes())
+                    crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edge[:-1], edge[1:])]
+                    new = [pa.array(counts, pa.int64()), pa.array(crc, pa.int64())]
+                else:
+                    new = [pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))]
+                if verify:
+                    new.append(pa.array([decoder.decode(ids[x:y]) == t for x, y, t in zip(edge[:-1], edge[1:], texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), *new], [*batch.schema.names, *(f.split(" ")[0] for f in added), *(["round_trip"] if verify else [])])
+
+    return docs.select(kept).mapInArrow(run, ", ".join(fields))
 
 
 def decode(docs: DataFrame, model_path: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the text of an array of piece ids added."""
+    """``docs`` with the text of an array of piece ids added; a null array gives an empty text."""
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         decoder = Decoder(vocabulary(model_path))
@@ -342,16 +359,5 @@ def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = decode(encode(docs, path), path)
-
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for column in batches:
-            yield pd.Series([zlib.crc32(np.asarray(x).astype("<u4").tobytes()) for x in column], dtype="int64")
-
-    return coded.select(
-        "doc_id",
-        F.size("piece_ids").cast("long").alias("n_pieces"),
-        F.pandas_udf(digest, "long")(F.col("piece_ids")).alias("ids_crc32"),
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit(""))).alias("round_trip"),
-    )
+    coded = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip")
