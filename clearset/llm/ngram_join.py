@@ -1,8 +1,8 @@
 """Jaccard self-join of word shingles by vertical partitioning.
 
 All shingles stand in one global order: those not known to be frequent first, by hash, the
-frequent ones last.  Two sets of the wanted similarity share a shingle within their
-prefixes in any such order, so only prefixes are exchanged to find candidates.
+frequent ones last.  Two sets of the wanted similarity share at least SHARED shingles within
+their prefixes in any such order, so only prefixes are exchanged to find candidates.
 
 The order is then cut into fragments: each set becomes one segment per fragment, partial
 overlaps are counted fragment by fragment, and the sums per pair decide.
@@ -37,9 +37,11 @@ from clearset.llm.text import row_key
 from clearset.operators.components import connected_components
 from clearset.storage import checked_broadcast, materialize
 
-#: Share of the hash range whose shingles are counted over the corpus, in 1/256; prefixes
-#: take about a tenth of a set from the low end of the range.
-COUNTED = 52
+#: Shingles are counted over the corpus where prefixes take theirs from: the low end of the
+#: hash range, wider by this factor than the share of a set that a prefix is.
+COUNTED = 1.6
+#: Common shingles that prefixes are long enough to promise (all of a set, if it has fewer).
+SHARED = 4
 #: Frequent shingles are broadcast: at most this many by construction of their threshold.
 FREQUENT = 1 << 20
 #: Classes that hold a prefix shingle for it to give pairs directly.
@@ -58,9 +60,14 @@ def needed(n: np.ndarray | int, percent: int):
     return -(-percent * n // 100)
 
 
-def frequent_shingles(docs: DataFrame, words: int) -> DataFrame:
+def counted_below(percent: int) -> np.uint64:
+    """Hashes below this one are counted."""
+    return np.uint64(min(255, int(256 * COUNTED * (100 - percent) / 100) + 1) << 56)
+
+
+def frequent_shingles(docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Counted shingles of more documents than max(FEW, counted rows / FREQUENT): (shingle)."""
-    top = np.uint64(COUNTED << 56)
+    top = counted_below(percent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,10 +86,10 @@ def frequent_shingles(docs: DataFrame, words: int) -> DataFrame:
 def shingle_classes(docs: DataFrame, frequent: DataFrame, percent: int, words: int) -> DataFrame:
     """(doc_id, rk, n, v, prefix) of each document; v: the class of its set."""
     last = docs.sparkSession.sparkContext.broadcast(np.sort(np.array([r[0] for r in frequent.toLocalIterator()], np.int64).view(np.uint64)))
-    top = np.uint64(COUNTED << 56)
+    top = counted_below(percent)
 
     def prefix(own: np.ndarray) -> np.ndarray:
-        size = len(own) - needed(len(own), percent) + 1 if len(own) else 0
+        size = min(len(own), len(own) - needed(len(own), percent) + SHARED)
         common = last.value
         late = np.zeros(len(own), bool)
         low = own[: np.searchsorted(own, top)]
@@ -206,7 +213,10 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> Data
     a = few.select("shingle", F.col("v").alias("a"), F.col("n").alias("na"))
     b = few.select("shingle", F.col("v").alias("b"), F.col("n").alias("nb"))
     close = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    pairs = materialize(a.join(b, "shingle").where((F.col("a") < F.col("b")) & close).select("a", "b", "na", "nb").distinct(), "candidates")
+    # a pair that shares no frequent shingle shares enough of these, or it is not similar
+    met = a.join(b, "shingle").where((F.col("a") < F.col("b")) & close).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
+    enough = F.least(F.lit(SHARED), F.ceil(F.greatest("na", "nb") * percent / 100))
+    pairs = materialize(met.where(F.col("met") >= enough).select("a", "b", "na", "nb"), "candidates")
 
     many = materialize(shared.where(F.col("df") > FEW).select("v", "n", "shingle"), "frequent-prefixes")
     # classes and shingles are the two kinds of nodes: even and odd numbers
@@ -238,7 +248,7 @@ def near_duplicate_components(docs: DataFrame, percent: int = 80, words: int = 5
     ``percent`` in a hundred; component_id is the smallest doc_id that links reach.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
-    rows = materialize(shingle_classes(docs, frequent_shingles(docs, words), percent, words), "shingle-sets")
+    rows = materialize(shingle_classes(docs, frequent_shingles(docs, percent, words), percent, words), "shingle-sets")
     # equal sets are one class, told apart by 64 bits
     classes = rows.where("n > 0").groupBy("v").agg(
         F.min("doc_id").alias("doc"), F.min("rk").alias("rk"), F.min("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("size")
