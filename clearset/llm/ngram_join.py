@@ -207,7 +207,13 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> Data
     enough to connect the same components for clusters."""
     rows = classes.select("v", "n", F.explode("prefix").alias("shingle"))
     held = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = materialize(rows.join(held, "shingle"), "shared-prefixes")
+    shared = materialize(rows.join(held.select("shingle"), "shingle"), "shared-prefixes")
+    # a class whose prefix shares too few shingles with all others together is similar to none
+    alone = F.count("*") < F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
+    able = materialize(shared.groupBy("v", "n").agg(alone.alias("alone")).where("NOT alone").select("v"), "classes-with-partners")
+    left = shared.join(checked_broadcast(able), "v", "left_semi")
+    held = left.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = materialize(left.join(held, "shingle"), "shared-prefixes")
 
     few = shared.where(F.col("df") <= FEW)
     a = few.select("shingle", F.col("v").alias("a"), F.col("n").alias("na"))
