@@ -77,7 +77,12 @@ def keep_bitmaps(
     ``keep`` lists (word, bits): bit i of word w tells whether line 64 w + i stays.  Words
     without a dropped line, and documents that lose nothing, are left out (all ones).
     """
-    gone = dropped_lines(line_hashes(docs, text, doc_id, min_chars), mode, min_docs).distinct()
+    return bitmaps_of(dropped_lines(line_hashes(docs, text, doc_id, min_chars), mode, min_docs))
+
+
+def bitmaps_of(gone: DataFrame) -> DataFrame:
+    """(doc, rk, n_dropped, keep) from the dropped lines (doc, rk, pos)."""
+    gone = gone.select("doc", "rk", "pos").distinct()
     word = F.floor(F.col("pos") / 64).cast("int").alias("word")
     bit = F.expr("shiftleft(1L, pos % 64)")
     words = gone.groupBy("doc", "rk", word).agg(F.bit_or(bit).alias("gone"), F.count("*").alias("n"))
@@ -87,6 +92,31 @@ def keep_bitmaps(
     )
 
 
+def spare_first_copies(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``bitmaps`` under which copies keep their text once.
+
+    Documents that lose all or more than half of their characters are taken for copies, not for
+    texts with boilerplate in them.  Of each line that goes from such documents, the first of
+    them (by document) keeps it; the others, and all other documents, lose what they lost.
+    """
+    blank = F.btrim("kept_text", F.lit(SPACES)) == ""
+    applied = apply_bitmaps(docs, bitmaps, text, doc_id).where((F.col("n_dropped") > 0) & (blank | (2 * F.length("kept_text") < F.length(text))))
+    copies = materialize(applied.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).distinct(), "copies")
+    own = copies.select(F.col("doc_id").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("rk"))
+    same = lambda a, b: (a["rk"] == b["rk"]) & a["doc"].eqNullSafe(b["doc"])
+    own = checked_broadcast(materialize(own, "copy-keys"))
+    theirs = materialize(bitmaps.join(own, same(bitmaps, own), "left_semi"), "copy-bitmaps")
+    marks = theirs.select("doc", "rk", "keep")
+    lines = line_hashes(copies)
+    lost = lines.join(marks, same(lines, marks)).select("h1", "h2", lines["doc"], lines["rk"], "pos", F.map_from_entries("keep").alias("keep"))
+    bits = F.coalesce(F.col("keep")[F.floor(F.col("pos") / 64).cast("int")], F.lit(-1).cast("long"))
+    lost = materialize(lost.where(F.getbit(bits, F.col("pos") % 64) == 0).drop("keep"), "lines-of-copies")
+    at = F.struct("doc", "rk")
+    first = materialize(lost.groupBy("h1", "h2").agg(F.min(at).alias("first")), "first-copies")
+    again = lost.join(checked_broadcast(first), ["h1", "h2"]).where(~at.eqNullSafe(F.col("first")))
+    return bitmaps.join(own, same(bitmaps, own), "left_anti").unionByName(bitmaps_of(again))
+
+
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with (n_lines, n_dropped, kept_text) added.  Texts are shuffled only where the
     bitmaps are too many to broadcast."""

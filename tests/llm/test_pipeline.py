@@ -43,3 +43,16 @@ def test_stages_against_brute_force(spark, data, tmp_path):
 
 def test_run(spark, data):
     assert corpus_pipeline.run(spark, data).count() > 0
+
+
+def test_large_groups_of_copies_keep_one(spark, data):
+    texts = {i: "first line of a text\nits second line\nfirst line of a text" for i in range(5, 30)}
+    texts |= {100 + i: f"a long line that near copies share\nanother such line\nown {i}" for i in range(12)}
+    texts |= {200 + i: f"boilerplate\nwords of document {i} which are many more than that" for i in range(11)}
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    lined = corpus_pipeline.line_dedup_stage(spark, docs, data)
+    got = {r["doc_id"]: r["text"] for r in lined.collect()}
+    want = {5: texts[5], 100: texts[100]} | {100 + i: f"own {i}" for i in range(1, 12)} | {i: t.split("\n")[1] for i, t in texts.items() if i >= 200}
+    assert got == want
+    assert all(r["n_chars"] == len(r["text"]) for r in lined.collect())
+    assert 5 in {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, lined, data).collect()}
