@@ -6,6 +6,11 @@ the class and, given that half, the low one; so every conditional probability is
 over all classes at the cost of two short softmax layers.  A document's score is the sum of
 the conditional log-probabilities of all its words, each masked in turn.
 
+A class holds many words.  The probability of a word is that of its class times the word's
+share of the class's occurrences, for which all different words of the corpus are counted in a
+table (words are told apart by 64 bits); each class keeps one occurrence for words that the
+table does not hold.  The commonest FREQUENT words are broadcast; the others are summed by a join.
+
 Training reads the whole corpus: every partition runs stochastic gradient descent over all
 its words from the same start and returns its parameters, row by row, with the number of
 words that moved each row; Spark averages the rows by that weight.  What is gathered grows
@@ -27,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import PIECE, word_hashes
+from clearset.storage import materialize
 
 SIDE, HIDDEN = 64, 24
 CLASSES = SIDE * SIDE
@@ -35,6 +41,8 @@ PAD = CLASSES
 WINDOW = (-2, -1, 1, 2)
 REACH = max(map(abs, WINDOW))
 BATCH, RATE = 2048, 0.08
+#: Words that are broadcast with their counts, at most; words that are counted at once in a task.
+FREQUENT, COUNTED = 1 << 20, 1 << 22
 _ROWS = {"embed": len(WINDOW) * (CLASSES + 1), "high": SIDE, "low": SIDE, "given": SIDE, "high_bias": SIDE, "low_bias": SIDE}
 
 
@@ -116,8 +124,8 @@ def step(m: dict[str, np.ndarray], moved: dict[str, np.ndarray], ids: np.ndarray
         moved[name] += len(at)
 
 
-def word_classes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(classes, words of each text) of pieces of a string column."""
+def hashed_words(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes of the words, words of each text) of pieces of a string column."""
     column = column.cast(pa.large_string()).fill_null("")
     if not len(column):
         return
@@ -128,11 +136,20 @@ def word_classes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + PIECE, "right")) - 1)
         own = offsets[first : last + 1]
         with np.errstate(over="ignore"):
-            h, counts = word_hashes(data[own[0] : own[-1]], own - own[0])
-        yield (h % np.uint64(CLASSES)).astype(np.int32), counts
+            yield word_hashes(data[own[0] : own[-1]], own - own[0])
         first = last
 
 
+def classes_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(CLASSES)).astype(np.int32)
+
+
+def word_classes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(classes, words of each text) of pieces of a string column."""
+    for hashes, counts in hashed_words(column):
+        yield classes_of(hashes), counts
+
+
 def padded(classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(ids with pads around each text, places of the words)."""
     gap = np.repeat(np.arange(len(counts)), counts) * REACH
@@ -197,7 +214,107 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], text: str = "text") ->
     return out.withColumn("n_words", F.col("__lm.n_words")).withColumn("log_prob", F.col("__lm.log_prob")).drop("__lm")
 
 
+def vocabulary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): all different words of the corpus, by hash, and how often each occurs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+        parts, size = [], 0
+        for batch in batches:
+            for hashes, _ in hashed_words(batch.column(0)):
+                parts.append(hashes)
+                size += len(hashes)
+                if size >= COUNTED:
+                    yield counted(parts)
+                    parts, size = [], 0
+        if size:
+            yield counted(parts)
+
+    return docs.select(text).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def broadcast_from(words: DataFrame) -> int:
+    """Least count such that at most FREQUENT words of ``words`` (word, n) have it."""
+    top = 4096
+    rows = words.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count("*").alias("words"), F.sum("n").alias("total")).collect()
+    least, room = top + 1, FREQUENT
+    for r in sorted(rows, key=lambda r: -r["n"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["n"]
+    if least <= top:
+        return least
+    # at most total / (total / FREQUENT) words have more
+    return max(least, sum(r["total"] for r in rows) // FREQUENT + 1)
+
+
+def score_words(docs: DataFrame, model: dict[str, np.ndarray], words: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the text, with (n_words, log_prob, word_log_prob) added: the sums of the
+    log-probabilities of the classes and of the words; ``words``: a table (word, n)."""
+    least = broadcast_from(words)
+    common = words.where(F.col("n") >= least).toArrow()
+    names = common["word"].to_numpy().view(np.uint64)
+    order = np.argsort(names)
+    log_n = np.log(common["n"].to_numpy()[order]).astype(np.float32)
+    totals = np.ones(CLASSES)
+    for r in words.groupBy(F.col("word").bitwiseAND(CLASSES - 1).alias("c")).agg(F.sum("n").alias("n")).collect():
+        totals[r["c"]] += r["n"]
+    # words that occur once, or never, count log 1
+    joined = least > 2
+    shared = docs.sparkSession.sparkContext.broadcast((model, names[order], log_n, np.log(totals)))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for column in batches:
+            model, names, log_n, log_totals = shared.value
+            out = {"n_words": [np.zeros(0, np.int64)], "log_prob": [np.zeros(0)], "word_log_prob": [np.zeros(0)]}
+            rest: list[np.ndarray] = []
+            for hashes, counts in hashed_words(pa.array(column, pa.string(), from_pandas=True)):
+                classes = classes_of(hashes)
+                ids, at = padded(classes, counts)
+                edge = np.r_[0, np.cumsum(counts)]
+                sums = lambda x: (c := np.r_[0, np.cumsum(x)])[edge[1:]] - c[edge[:-1]]  # noqa: B023, E731
+                in_class = -log_totals[classes]
+                known = np.zeros(len(hashes), bool)
+                if len(names):
+                    found, back = np.unique(hashes, return_inverse=True)
+                    k = np.minimum(np.searchsorted(names, found), len(names) - 1)
+                    hit = names[k] == found
+                    in_class += np.where(hit, log_n[k], 0)[back]
+                    known = hit[back]
+                lp = log_probs(model, ids, at)
+                out["n_words"].append(counts)
+                out["log_prob"].append(sums(lp))
+                out["word_log_prob"].append(sums(lp + in_class))
+                if joined:
+                    cut = np.r_[0, np.cumsum(~known)][edge]
+                    rest += np.split(hashes[~known].view(np.int64), cut[1:-1])
+                else:
+                    rest += [np.zeros(0, np.int64)] * len(counts)
+            frame = pd.DataFrame({k: np.concatenate(v) for k, v in out.items()})
+            frame["rest"] = pd.Series(rest, dtype=object)
+            yield frame
+
+    kept = [F.col(c) for c in docs.columns if c != text]
+    lm = F.pandas_udf(run, "n_words long, log_prob double, word_log_prob double, rest array<long>")(F.col(text))
+    rows = docs.withColumn("__lm", lm).withColumn("__row", F.monotonically_increasing_id()).select(*kept, "__row", "__lm.*")
+    if not joined:
+        return rows.drop("__row", "rest")
+    rows = materialize(rows, "scored-words")
+    tail = rows.select("__row", F.explode("rest").alias("word")).join(words.where((F.col("n") > 1) & (F.col("n") < least)), "word")
+    more = tail.groupBy("__row").agg(F.sum(F.log("n")).alias("__more"))
+    out = rows.drop("rest").join(more, "__row", "left")
+    return out.withColumn("word_log_prob", F.col("word_log_prob") + F.coalesce("__more", F.lit(0.0))).drop("__row", "__more")
+
+
 def op4_masked_lm(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = score(docs, train(docs))
-    return out.select("doc_id", "n_words", "log_prob", (F.col("log_prob") / F.greatest("n_words", F.lit(1))).alias("per_word"))
+    words = materialize(vocabulary(docs), "word-counts")
+    out = score_words(docs, train(docs), words)
+    each = F.greatest("n_words", F.lit(1))
+    return out.select(
+        "doc_id", "n_words", "log_prob", (F.col("log_prob") / each).alias("per_word"), "word_log_prob", (F.col("word_log_prob") / each).alias("word_per_word")
+    )

@@ -109,6 +109,29 @@ def test_masked_model_is_a_distribution_and_sums_over_all_words(spark, messy, em
     assert masked_lm.score(empty, masked_lm.train(empty)).count() == 0
 
 
+@pytest.mark.parametrize("frequent", [1 << 20, 3])
+def test_words_of_one_class_are_told_apart(spark, messy, empty, monkeypatch, frequent):
+    monkeypatch.setattr(masked_lm, "FREQUENT", frequent)
+    seen = spark.createDataFrame([(i, "the cat the dog " * 3 + "pair" * (i > 7)) for i in range(10)], "doc_id long, text string").unionByName(messy.select("doc_id", "text"))
+    model, words = masked_lm.train(seen), masked_lm.vocabulary(seen).localCheckpoint()
+    hashed = lambda t: shingles.word_hashes(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[0].tolist()
+    n = {}
+    for r in seen.collect():
+        for h in hashed(r["text"]):
+            n[h] = n.get(h, 0) + 1
+    assert {r["word"] % (1 << 64): r["n"] for r in words.collect()} == n
+    total = {}
+    for h, k in n.items():
+        total[h % masked_lm.CLASSES] = total.get(h % masked_lm.CLASSES, 0) + k
+    docs = seen.unionByName(spark.createDataFrame([(77, "never zzyzx dog"), (77, "never zzyzx dog")], "doc_id long, text string"))
+    whole = masked_lm.score(docs, model).toPandas().sort_values(["doc_id", "text"], ignore_index=True)
+    got = masked_lm.score_words(docs.withColumn("t", F.col("text")), model, words).toPandas().sort_values(["doc_id", "t"], ignore_index=True)
+    assert got["n_words"].tolist() == whole["n_words"].tolist() and np.allclose(got["log_prob"], whole["log_prob"], rtol=1e-4)
+    want = [sum(np.log(n.get(h, 1) / (total.get(h % masked_lm.CLASSES, 0) + 1)) for h in hashed(t)) for t in got["t"]]
+    assert np.allclose(got["word_log_prob"] - got["log_prob"], want, rtol=1e-4, atol=1e-4)
+    assert masked_lm.score_words(empty.select("doc_id", "text"), model, words).count() == 0
+
+
 def lines_brute(rows, least=10):
     key = lambda x: re.sub(r"^[ \t-\r]+|[ \t-\r]+$", "", re.sub("[A-Z]", lambda m: m[0].lower(), x))
     seen = {}
