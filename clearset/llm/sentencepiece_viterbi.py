@@ -13,6 +13,10 @@ batch is searched once, and words of equal length are searched side by side in n
 Words of more than ``SIDE_BY_SIDE`` characters, and texts under other vocabularies, go
 through the stream.
 
+The best sum of scores is what a unigram model asks for.  The scores of a BPE model are ranks
+of merges; its own ids come from merging in that order, which ``search="merges"`` gives: each
+different word of a batch goes through the library's encoder, texts that cannot be cut go whole.
+
 Scores are those of the model file: best sum, longest last piece among equal sums.  A
 character without a piece counts ``UNKNOWN_PENALTY`` less than the worst piece and becomes
 its UTF-8 bytes where the model has byte pieces, else the unknown id.
@@ -27,6 +31,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -53,6 +58,7 @@ class Vocabulary:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     words_apart: bool = field(init=False)
+    processor: object = field(init=False, default=None)  # the library's, where the vocabulary comes from a model file
 
     def __post_init__(self) -> None:
         self.ids = {self.pieces[i]: int(i) for i in self.usable}
@@ -101,7 +107,9 @@ def load_vocabulary(path: str) -> Vocabulary:
     apart = np.array([m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i) for i in range(n)])
     by_byte = {pieces[i]: i for i in range(n) if m.is_byte(i)}
     byte_ids = np.array([by_byte[f"<0x{b:02X}>"] for b in range(256)], np.int32) if len(by_byte) == 256 else None
-    return Vocabulary(pieces, scores, np.flatnonzero(~apart), byte_ids, m.unk_id())
+    v = Vocabulary(pieces, scores, np.flatnonzero(~apart), byte_ids, m.unk_id())
+    v.processor = m
+    return v
 
 
 class StreamingViterbi:
@@ -245,6 +253,16 @@ def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(flat), begin, lens
 
 
+def merge_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for the model's own ids; the library puts a mark before each word itself, but
+    none before an empty one."""
+    own = v.processor.encode([w[1:] for w in words], num_threads=1)
+    alone = [v.ids[MARK]] if MARK in v.ids else unknown_ids(v, MARK)
+    own = [alone if w == MARK else ids for w, ids in zip(words, own)]
+    lens = np.fromiter(map(len, own), np.int64, len(own))
+    return np.fromiter(chain.from_iterable(own), np.int32, int(lens.sum())), np.cumsum(lens) - lens, lens
+
+
 def split_marks(escaped: str) -> list[str]:
     """Cut before each mark that follows another character."""
     first, *rest = escaped.split(MARK)
@@ -259,8 +277,9 @@ def split_marks(escaped: str) -> list[str]:
     return out + [marks] if marks else out
 
 
-def encode_batch(v: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def encode_batch(v: Vocabulary, texts: list[str], search: str = "scores") -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, ids of each text)."""
+    by_word = {"scores": encode_words, "merges": merge_words}[search]
     words: list[str] = []
     sizes = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -274,7 +293,7 @@ def encode_batch(v: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     names = dict.fromkeys(words)
     names.update(zip(names, range(len(names))))
     code = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
-    flat, begin, lens = encode_words(v, list(names))
+    flat, begin, lens = by_word(v, list(names))
     n = lens[code]
     ids = flat[np.repeat(begin[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
     before, edge = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(sizes)]
@@ -313,9 +332,10 @@ def batches_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
             first, n = i + 1, 0
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores") -> DataFrame:
     """``docs`` with piece_ids and, with ``verify``, round_trip: whether they decode to the text.
-    ``digest`` gives n_pieces and ids_crc32 in place of the ids.  Encoding and decoding share
+    ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum)
+    or "merges" (the ids of the library).  Encoding and decoding share
     a task; batches are cut into pieces, so that a worker holds a few megabytes at a time."""
     kept = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "ids_crc32", "round_trip")]
     added = ["n_pieces long", "ids_crc32 long"] if digest else ["piece_ids array<int>"]
@@ -328,7 +348,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
             column = batch.column(batch.schema.names.index(text))
             for a, b in batches_of(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
                 texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                ids, counts = encode_batch(v, texts)
+                ids, counts = encode_batch(v, texts, search)
                 edge = np.r_[0, np.cumsum(counts)]
                 if digest:
                     raw = memoryview(ids.astype("<u4").tobytes())
@@ -355,9 +375,13 @@ def decode(docs: DataFrame, model_path: str, ids: str = "piece_ids", out: str =
 
 
 def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    """Per document the digest of its piece ids and whether they decode to the text."""
+    """Per document the digest of its piece ids and whether they decode to the text: of the best
+    sum of scores, and (model_...) of the model's own merges."""
     import public_tokenizers
 
+    path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), digest=True)
-    return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip")
+    own = encode(docs, path, digest=True, search="merges")
+    own = own.withColumnsRenamed({c: f"model_{c}" for c in ("n_pieces", "ids_crc32", "round_trip")})
+    coded = encode(own, path, digest=True)
+    return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip", "model_n_pieces", "model_ids_crc32", "model_round_trip")

@@ -264,6 +264,19 @@ def test_sentencepiece_columns(messy, empty):
     assert spv.encode(empty, PIECES).count() == 0
 
 
+def test_merges_equal_the_library_on_whole_texts(spark, data, messy, empty):
+    import sentencepiece
+
+    whole = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    odd = ["...Erreth", " lead", "two  spaces ", "\x00z", "x" * 500, "\n\n\t", "a▁b ▁ c", "▁", "\u00a0x", "the" * 9000]
+    docs = messy.select("text").unionByName(spark.createDataFrame([(t,) for t in odd], "text string")).unionByName(spark.read.parquet(f"{data}/documents.parquet").select("text"))
+    got = spv.encode(docs, PIECES, search="merges").collect()
+    assert len(got) > 200 and all(r["piece_ids"] == whole.encode(r["text"] or "") for r in got)
+    # the model has no other piece for a mark in the text than that of a space
+    assert all(r["round_trip"] == (spv.MARK not in (r["text"] or "")) for r in got)
+    assert spv.encode(empty, PIECES, search="merges").count() == 0
+
+
 def components_brute(rows, percent, n):
     sets = []
     for _, t in rows:

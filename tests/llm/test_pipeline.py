@@ -56,3 +56,13 @@ def test_large_groups_of_copies_keep_one(spark, data):
     assert got == want
     assert all(r["n_chars"] == len(r["text"]) for r in lined.collect())
     assert 5 in {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, lined, data).collect()}
+
+
+def test_piece_ids_are_those_of_the_library(spark, data):
+    import public_tokenizers
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(40)
+    whole = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all(r["piece_ids"] == whole.encode(texts[r["doc_id"]]) for r in corpus_pipeline.sentencepiece(spark, docs, data).collect())
