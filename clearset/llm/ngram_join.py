@@ -47,8 +47,10 @@ FREQUENT = 1 << 20
 #: Classes that hold a prefix shingle for it to give pairs directly.
 FEW = 16
 FRAGMENTS = 8
-#: Shingles of one block of a cluster, and columns that a task multiplies at once.
-BLOCK_SHINGLES, COLUMNS = 1 << 18, 4096
+#: Shingles and classes of one block of a cluster, and columns that a task multiplies at once.
+BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 18, 2048, 4096
+#: Rows of a block that are compared at once.
+STRIP = 256
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -177,11 +179,6 @@ def block_links(percent: int):
                 own = mask[owner[lo:hi]]
                 out[place[owner[lo:hi][own]], code[lo:hi][own] - at] = 1
             overlap += a @ b.T
-        union = sizes[left][:, None] + sizes[right][None, :] - overlap
-        x, y = np.nonzero(100 * overlap.astype(np.float64) >= percent * union)
-        x, y = left[x], right[y]
-        keep = x < y if i == j else np.ones(len(x), bool)
-        x, y = x[keep], y[keep]
         parent = list(range(len(ids)))
 
         def root(k: int) -> int:
@@ -191,17 +188,34 @@ def block_links(percent: int):
             return k
 
         out = []
-        for p, q in zip(x.tolist(), y.tolist()):
-            a, b = root(p), root(q)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((p, q))
+        for at in range(0, len(left), STRIP):
+            own = overlap[at : at + STRIP].astype(np.float64)
+            union = sizes[left[at : at + STRIP]][:, None] + sizes[right][None, :] - own
+            x, y = np.nonzero(100 * own >= percent * union)
+            x, y = left[at + x], right[y]
+            keep = x < y if i == j else np.ones(len(x), bool)
+            for p, q in zip(x[keep].tolist(), y[keep].tolist()):
+                a, b = root(p), root(q)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((p, q))
         out = np.array(out, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": ids[out[:, 0]], "b": ids[out[:, 1]]})
 
     return link
 
 
+def in_blocks(member: DataFrame) -> DataFrame:
+    """(component, v, block, i, j) of the classes (v, n, component) of clusters, one row for each
+    pair of blocks i <= j that a class meets in.  Neither the shingles nor the classes of a
+    block grow with its cluster: a task holds a matrix of the classes of two blocks."""
+    many = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int")
+    blocks = member.groupBy("component").agg(many.alias("blocks"), F.count("*").alias("size")).where("size > 1")
+    placed = member.join(blocks, "component").select("component", "v", "blocks", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select("component", "v", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+
+
 def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
     """Links (a, b) between classes (v, n, doc, prefix): all of them for pairs found directly,
     enough to connect the same components for clusters."""
@@ -238,10 +252,7 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> Data
 
     direct = verified_pairs(pairs, segs, percent)
 
-    blocks = member.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"), F.count("*").alias("size")).where("size > 1")
-    placed = member.join(blocks, "component").select("component", "v", "blocks", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = placed.withColumn("with", F.explode(other)).select("component", "v", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    placed = in_blocks(member)
     spread = placed.join(segs.groupBy("v").agg(F.flatten(F.collect_list("shingles")).alias("shingles")), "v")
     clustered = spread.groupBy("component", "i", "j").applyInPandas(block_links(percent), "a long, b long")
     return direct.unionByName(clustered)

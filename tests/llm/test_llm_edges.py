@@ -323,6 +323,38 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, percent, n, few,
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == components_brute(rows, percent, n)
 
 
+def test_blocks_of_short_texts_are_bounded_by_rows(spark):
+    member = spark.range(30_000).selectExpr("id AS v", "6L AS n", "1L AS component")
+    tasks = ngram_join.in_blocks(member).groupBy("i", "j").count().collect()
+    assert len({r["i"] for r in tasks}) >= 15 and max(r["count"] for r in tasks) < 2 * 2300
+    blocks = ngram_join.in_blocks(member).select("v", "block", "i", "j")
+    assert blocks.groupBy("v").count().agg(F.min("count"), F.max("count")).first()[:] == (15, 15)
+
+
+def test_a_block_of_short_texts_is_compared_in_strips():
+    import tracemalloc
+
+    import pandas as pd
+
+    rows = 4096
+    pdf = pd.DataFrame({"v": range(rows), "block": np.arange(rows) % 2, "shingles": [np.arange(10) + 100 * (i // 64) for i in range(rows)]})
+    tracemalloc.start()
+    got = ngram_join.block_links(80)((1, 0, 1), pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == rows - rows // 64 and peak < 150e6, peak
+
+
+@pytest.mark.parametrize("rows", [7, 2048])
+def test_short_templates_equal_brute_force(spark, monkeypatch, rows):
+    monkeypatch.setattr(ngram_join, "FEW", 2)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "STRIP", 3)
+    docs = [(i, f"a b c d e f g h i j k l m n o p q r s {i % 20} t{i // 30}") for i in range(60)]
+    got = ngram_join.near_duplicate_components(spark.createDataFrame(docs, "doc_id long, text string"), 80, 3).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got) == components_brute(docs, 80, 3)
+
+
 def test_near_duplicates_of_messy_tables(messy, empty):
     assert ngram_join.near_duplicate_components(messy).count() == 11
     assert ngram_join.near_duplicate_components(empty).count() == 0
