@@ -258,11 +258,13 @@ def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> Data
     return direct.unionByName(clustered)
 
 
-def near_duplicate_components(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text).
+def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """(doc_id, rk, n_shingles, component, component_id) of each row of ``docs`` (doc_id, text).
 
     Two documents link when the Jaccard similarity of their shingle sets is at least
     ``percent`` in a hundred; component_id is the smallest doc_id that links reach.
+    ``component`` tells components apart whatever ids repeat or lack; it is null for rows
+    that link with no other.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
     rows = materialize(shingle_classes(docs, frequent_shingles(docs, percent, words), percent, words), "shingle-sets")
@@ -275,9 +277,14 @@ def near_duplicate_components(docs: DataFrame, percent: int = 80, words: int = 5
     named = classes.select("v", "doc", "size").join(linked.withColumnRenamed("node", "v"), "v", "left")
     named = named.where("size > 1 OR component IS NOT NULL").select("v", "doc", F.coalesce("component", "v").alias("component"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    named = materialize(named.join(least, "component").select("v", "component_id"), "components-of-classes")
+    named = materialize(named.join(least, "component").select("v", "component", "component_id"), "components-of-classes")
     out = rows.join(checked_broadcast(named), (rows["v"] == named["v"]) & (rows["n"] > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "rk", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicate_components(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of ``near_duplicate_rows``."""
+    return near_duplicate_rows(docs, percent, words).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

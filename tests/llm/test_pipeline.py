@@ -66,3 +66,15 @@ def test_piece_ids_are_those_of_the_library(spark, data):
     whole = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     assert all(r["piece_ids"] == whole.encode(texts[r["doc_id"]]) for r in corpus_pipeline.sentencepiece(spark, docs, data).collect())
+
+
+def test_near_duplicates_go_by_row(spark, data):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (3, a + " end"), (3, "a clean text under an id that repeats"), (3, b), (7, b), (3, b + " end"), (5, c), (5, c), (5, c), (None, "text without any id at all"), (None, "text without any id at all"), (None, a), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, data)
+    assert out.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    own = [r for r in got if r[0] == 3 and r[1].startswith("b")]
+    assert len(own) == 1
+    assert got == sorted([(1, a), (3, rows[2][1]), own[0], (5, c), rows[9], (9, None), (9, "")], key=str)
