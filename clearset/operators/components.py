@@ -2,7 +2,7 @@
 
 Every round is a pre-aggregated minimum per node and one join, so that a node with very
 many neighbours is split by adaptive execution and no neighbour list is ever collected.
-Lineage is cut by a table in the shared folder after each round.
+Lineage is cut by a table in the shared folder after each round; the one before is deleted.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearset.storage import materialize
+from clearset.storage import materialize, release
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -48,7 +48,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     if not before[0]:
         return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
-        now = materialize(small_star(large_star(now)), "components")
+        last, now = now, materialize(small_star(large_star(now)), "components")
+        release(last)
         after = _state(now)
         if after == before:
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +32,45 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's own switch for deleting the shuffle files of a query once it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a lineage cut that survives
-    the loss of executors, and a table whose size is known."""
+    the loss of executors, and a table whose size is known.  The shuffle files behind it are
+    deleted as soon as it is written; ``release`` deletes the table itself."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize`` that nothing reads any more: all that was made of them
+    has been written."""
+    for table in tables:
+        drop_path(table.sparkSession, table.scratch_path)
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Size of the files of a table of ``materialize``."""
+    spark = table.sparkSession
+    p = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -47,13 +81,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: Rows up to which a materialised, narrow side of a join is broadcast; a wider or larger
-#: side goes through a shuffle join instead.
-BROADCAST_ROWS = 400_000
+#: Rows up to which a materialised side of a join is broadcast, and bytes of its files: a
+#: wider or larger side goes through a shuffle join instead.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 16 << 20
 
 
-def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint ``small`` (a materialised table of narrow rows) as a broadcast side if its
-    counted rows stay within ``max_rows``; otherwise return it as it is, so that the join
-    shuffles on its key and adaptive execution can split skewed partitions."""
-    return F.broadcast(small) if small.count() <= max_rows else small.hint("merge")
+def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint ``small`` as a broadcast side if its counted rows stay within ``max_rows`` and, for
+    a whole table of ``materialize``, its files within ``max_bytes``; otherwise return it as it
+    is, so that the join shuffles on its key and adaptive execution can split skewed partitions."""
+    path = getattr(small, "scratch_path", None)
+    fits = (path is None or table_bytes(small) <= max_bytes) and small.count() <= max_rows
+    return F.broadcast(small) if fits else small.hint("merge")
