@@ -7,12 +7,16 @@ their prefixes in any such order, so only prefixes are exchanged to find candida
 The order is then cut into fragments: each set becomes one segment per fragment, partial
 overlaps are counted fragment by fragment, and the sums per pair decide.
 
-* Sets that are equal are one class; only classes are compared.
+* Sets that are equal are one class; only classes are compared.  Pairs whose sizes alone rule
+  the similarity out are never formed.
 * Prefix shingles that few classes hold give their pairs directly.
 * Prefix shingles that many classes hold (groups of near copies) would give pairs by the
-  square.  They are clustered instead, clusters are cut into blocks of bounded size, and
-  each pair of blocks counts its overlaps fragment by fragment inside a task, which emits
-  no more links than it takes to connect what is linked.
+  square.  Each of their classes meets LEADERS leaders of the shingle instead.  As frequent
+  shingles come last in the order, only sets that consist of little else have them in a prefix.
+* What leaders and direct pairs link is a part.  A frequent shingle whose classes are all in one
+  part is settled.  The classes of the others are compared by blocks of bounded size, fragment
+  by fragment inside a task, where classes of one large part meet those of others only; a task
+  emits no more links than it takes to connect what is linked.
 
 Links join into components; every document gets the smallest doc_id of its component.
 
@@ -29,13 +33,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import set_key, sets_of
 from clearset.llm.text import row_key
 from clearset.operators.components import connected_components
-from clearset.storage import checked_broadcast, materialize
+from clearset.storage import checked_broadcast, materialize, release
 
 #: Shingles are counted over the corpus where prefixes take theirs from: the low end of the
 #: hash range, wider by this factor than the share of a set that a prefix is.
@@ -44,8 +48,8 @@ COUNTED = 1.6
 SHARED = 4
 #: Frequent shingles are broadcast: at most this many by construction of their threshold.
 FREQUENT = 1 << 20
-#: Classes that hold a prefix shingle for it to give pairs directly.
-FEW = 16
+#: Classes that hold a prefix shingle for it to give pairs directly; leaders of any other one.
+FEW, LEADERS = 16, 2
 FRAGMENTS = 8
 #: Shingles and classes of one block of a cluster, and columns that a task multiplies at once.
 BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 18, 2048, 4096
@@ -62,6 +66,12 @@ def needed(n: np.ndarray | int, percent: int):
     return -(-percent * n // 100)
 
 
+def fits(na, nb, percent: int):
+    """Whether different sets of ``na`` and ``nb`` can have the wanted similarity (columns or arrays)."""
+    low, high = (F.least(na, nb), F.greatest(na, nb)) if isinstance(na, Column) else (np.minimum(na, nb), np.maximum(na, nb))
+    return (100 * low >= percent * high) & ((low < high) | (100 * (low - 1) >= percent * (low + 1)))
+
+
 def counted_below(percent: int) -> np.uint64:
     """Hashes below this one are counted."""
     return np.uint64(min(255, int(256 * COUNTED * (100 - percent) / 100) + 1) << 56)
@@ -82,7 +92,9 @@ def frequent_shingles(docs: DataFrame, percent: int, words: int) -> DataFrame:
     counts = materialize(counts, "shingle-counts")
     rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # at most rows / (rows / FREQUENT) of them pass
-    return counts.where(F.col("n") > max(FEW, rows // FREQUENT)).select("shingle")
+    frequent = materialize(counts.where(F.col("n") > max(FEW, rows // FREQUENT)).select("shingle"), "frequent-shingles")
+    release(counts)
+    return frequent
 
 
 def shingle_classes(docs: DataFrame, frequent: DataFrame, percent: int, words: int) -> DataFrame:
@@ -152,110 +164,153 @@ def verified_pairs(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame
 
 
 def block_links(percent: int):
-    """Task function: links between the sets of two blocks (or within one), as a forest."""
+    """Task function: links between classes of different parts in two blocks (or one), as a
+    forest; rows (block, v, shingles) and, where there are several, fragment and part."""
 
     def link(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        ids, row = np.unique(pdf["v"].to_numpy(), return_inverse=True)
-        first = np.zeros(len(ids), bool)
-        first[row[(pdf["block"] == i).to_numpy()]] = True
-        left, right = np.flatnonzero(first), np.flatnonzero(first if i == j else ~first)
-        lens = np.fromiter(map(len, pdf["shingles"]), np.int64, len(pdf))
-        tokens = np.concatenate([*pdf["shingles"], np.zeros(0, np.int64)]).astype(np.int64)
-        owner = np.repeat(row, lens)
-        sizes = np.bincount(owner, minlength=len(ids))
-        overlap = np.zeros((len(left), len(right)), np.float32)
-        place = np.zeros(len(ids), np.int64)
-        # shingles that only one of the sets holds count for no pair
-        names, code, n = np.unique(tokens, return_inverse=True, return_counts=True)
-        order = np.argsort(code, kind="stable")
-        order = order[n[code[order]] > 1]
-        code, owner = np.unique(code[order], return_inverse=True)[1], owner[order]
-        for at in range(0, int(code.max()) + 1 if len(code) else 0, COLUMNS):  # a fragment of the order
-            lo, hi = np.searchsorted(code, [at, at + COLUMNS])
-            a, b = (np.zeros((len(x), COLUMNS), np.float32) for x in (left, right))
-            for side, out, mask in ((left, a, first), (right, b, first if i == j else ~first)):
-                place[side] = np.arange(len(side))
-                own = mask[owner[lo:hi]]
-                out[place[owner[lo:hi][own]], code[lo:hi][own] - at] = 1
-            overlap += a @ b.T
-        parent = list(range(len(ids)))
-
-        def root(k: int) -> int:
-            while parent[k] != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
-        out = []
-        for at in range(0, len(left), STRIP):
-            own = overlap[at : at + STRIP].astype(np.float64)
-            union = sizes[left[at : at + STRIP]][:, None] + sizes[right][None, :] - own
-            x, y = np.nonzero(100 * own >= percent * union)
-            x, y = left[at + x], right[y]
-            keep = x < y if i == j else np.ones(len(x), bool)
-            for p, q in zip(x[keep].tolist(), y[keep].tolist()):
-                a, b = root(p), root(q)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    out.append((p, q))
-        out = np.array(out, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": ids[out[:, 0]], "b": ids[out[:, 1]]})
+        ids, at, row = np.unique(pdf["v"].to_numpy(), return_index=True, return_inverse=True)
+        own_block = pdf["block"].to_numpy()[at]
+        part = np.unique(pdf["part"].to_numpy()[at], return_inverse=True)[1] if "part" in pdf else np.arange(len(ids))
+        shingles, lens = pdf["shingles"].to_numpy(), np.fromiter(map(len, pdf["shingles"]), np.int64, len(pdf))
+        sizes = np.bincount(row, lens, len(ids)).astype(np.int64)
+        fragments = pdf.groupby("fragment").indices.values() if "fragment" in pdf else [np.arange(len(pdf))]
+        left, right = np.flatnonzero(own_block == i), np.flatnonzero(own_block == j)
+        out: list[tuple[int, int]] = []
+        if fits(np.unique(sizes[left])[:, None], np.unique(sizes[right])[None, :], percent).any():
+            place = np.zeros((2, len(ids)), np.int64)
+            place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+            overlap = np.zeros((len(left), len(right)), np.float32)
+            for rows in fragments:
+                add_overlaps(overlap, np.concatenate(shingles[rows]).astype(np.int64), np.repeat(row[rows], lens[rows]), own_block, (i, j), place)
+            parent = list(range(len(ids)))
+
+            def root(k: int) -> int:
+                while parent[k] != k:
+                    parent[k] = parent[parent[k]]
+                    k = parent[k]
+                return k
+
+            for first in range(0, len(left), STRIP):
+                rows = left[first : first + STRIP]
+                own = overlap[first : first + STRIP].astype(np.float64)
+                union = sizes[rows][:, None] + sizes[right][None, :] - own
+                x, y = np.nonzero((100 * own >= percent * union) & (part[rows][:, None] != part[right][None, :]))
+                for p, q in zip(rows[x].tolist(), right[y].tolist()):
+                    a, b = root(int(part[p])), root(int(part[q]))
+                    if a != b:
+                        parent[a] = b
+                        out.append((p, q))
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ids[pairs[:, 0]], "b": ids[pairs[:, 1]]})
 
     return link
 
 
-def in_blocks(member: DataFrame) -> DataFrame:
-    """(component, v, block, i, j) of the classes (v, n, component) of clusters, one row for each
-    pair of blocks i <= j that a class meets in.  Neither the shingles nor the classes of a
-    block grow with its cluster: a task holds a matrix of the classes of two blocks."""
-    many = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int")
-    blocks = member.groupBy("component").agg(many.alias("blocks"), F.count("*").alias("size")).where("size > 1")
-    placed = member.join(blocks, "component").select("component", "v", "blocks", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int").alias("block"))
-    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return placed.select("component", "v", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
-
-
-def links(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links (a, b) between classes (v, n, doc, prefix): all of them for pairs found directly,
-    enough to connect the same components for clusters."""
-    rows = classes.select("v", "n", F.explode("prefix").alias("shingle"))
-    held = rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = materialize(rows.join(held.select("shingle"), "shingle"), "shared-prefixes")
-    # a class whose prefix shares too few shingles with all others together is similar to none
-    alone = F.count("*") < F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100))
-    able = materialize(shared.groupBy("v", "n").agg(alone.alias("alone")).where("NOT alone").select("v"), "classes-with-partners")
-    left = shared.join(checked_broadcast(able), "v", "left_semi")
-    held = left.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
-    shared = materialize(left.join(held, "shingle"), "shared-prefixes")
+def add_overlaps(overlap: np.ndarray, tokens: np.ndarray, owner: np.ndarray, block: np.ndarray, key: tuple[int, int], place: np.ndarray) -> None:
+    """Add to ``overlap`` the shingles of one fragment that a left and a right set share."""
+    code = np.unique(tokens, return_inverse=True)[1]
+    order = np.argsort(code, kind="stable")
+    # shingles that only one of the sets holds count for no pair
+    order = order[np.bincount(code)[code[order]] > 1]
+    code, owner = np.unique(code[order], return_inverse=True)[1], owner[order]
+    for at in range(0, int(code.max()) + 1 if len(code) else 0, COLUMNS):
+        lo, hi = np.searchsorted(code, [at, at + COLUMNS])
+        sides = []
+        for k, side in enumerate(key):
+            m = np.zeros((overlap.shape[k], COLUMNS), np.float32)
+            own = block[owner[lo:hi]] == side
+            m[place[k, owner[lo:hi][own]], code[lo:hi][own] - at] = 1
+            sides.append(m)
+        overlap += sides[0] @ sides[1].T
 
+
+def in_blocks(member: DataFrame) -> DataFrame:
+    """(component, v, part, block, i, j) of the classes (v, n, part) of clusters, one row for each
+    pair of blocks i <= j that a class meets in.
+
+    A part of half a block or more has blocks of its own, which do not meet each other; all
+    smaller ones share blocks.  Neither the shingles nor the classes of a block grow with its
+    cluster.  Even block numbers are shared ones, odd ones belong to a part.  Without a column
+    ``part`` each class is one."""
+    if "part" not in member.columns:
+        member = member.withColumn("part", F.col("v"))
+    size = F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_ROWS)
+    parts = member.groupBy("component", "part").agg(size.alias("size"))
+    large = materialize(parts.where("size >= 0.5").select("component", "part", F.ceil("size").cast("int").alias("own")), "large-parts")
+    shared = parts.where("size < 0.5").groupBy("component").agg(F.ceil(F.sum("size")).cast("int").alias("shared"))
+    # numbers of the blocks of each large part: one row for each of them, far fewer than classes
+    before = F.coalesce(F.sum("own").over(Window.partitionBy("component").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = large.withColumn("first", before.cast("int"))
+    total = numbered.groupBy("component").agg(F.sum("own").cast("int").alias("owned"))
+    d = member.join(numbered, ["component", "part"], "left").join(shared, "component", "left").join(total, "component", "left")
+    d = d.withColumn("shared", F.coalesce("shared", F.lit(0))).withColumn("owned", F.coalesce("owned", F.lit(0)))
+    pick = lambda n: F.pmod(F.xxhash64("v"), n).cast("int")
+    mine = 2 * (F.col("first") + pick(F.col("own"))) + 1
+    d = d.withColumn("block", F.when(F.col("own").isNull(), 2 * pick(F.greatest("shared", F.lit(1)))).otherwise(mine))
+    # a block meets all shared ones and those of other parts
+    upto = lambda n, odd: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: 2 * k + odd)).otherwise(F.array().cast("array<int>"))
+    foreign = F.filter(upto(F.col("owned"), 1), lambda k: F.col("own").isNull() | (k < 2 * F.col("first") + 1) | (k >= 2 * (F.col("first") + F.col("own"))))
+    d = d.withColumn("with", F.explode(F.concat(upto(F.col("shared"), 0), foreign)))
+    return d.select("component", "v", "part", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+
+
+def parts_of(links: DataFrame) -> DataFrame:
+    """(v, part) of the classes that ``links`` (a, b) join."""
+    return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("v"), F.col("component").alias("part"))
+
+
+def direct_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b, na, nb) of the prefix shingles (shingle, v, n, df)."""
     few = shared.where(F.col("df") <= FEW)
     a = few.select("shingle", F.col("v").alias("a"), F.col("n").alias("na"))
     b = few.select("shingle", F.col("v").alias("b"), F.col("n").alias("nb"))
-    close = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    met = a.join(b, "shingle").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb"), percent))
+    met = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
     # a pair that shares no frequent shingle shares enough of these, or it is not similar
-    met = a.join(b, "shingle").where((F.col("a") < F.col("b")) & close).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("met"))
     enough = F.least(F.lit(SHARED), F.ceil(F.greatest("na", "nb") * percent / 100))
-    pairs = materialize(met.where(F.col("met") >= enough).select("a", "b", "na", "nb"), "candidates")
-
-    many = materialize(shared.where(F.col("df") > FEW).select("v", "n", "shingle"), "frequent-prefixes")
-    # classes and shingles are the two kinds of nodes: even and odd numbers
-    edges = many.select(F.expr("shiftleft(xxhash64(1, v), 1)").alias("u"), F.expr("shiftleft(xxhash64(2, shingle), 1) | 1L").alias("v"), F.col("v").alias("own"))
-    parts = connected_components(edges.select("u", "v"))
-    member = edges.select("own", "u").distinct().join(parts, F.col("u") == F.col("node")).select(F.col("own").alias("v"), "component")
-    member = materialize(member.join(many.select("v", "n").distinct(), "v"), "clusters")
-
-    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(member.select("v")).distinct()
-    wanted = materialize(wanted.join(classes.select("v", "rk"), "v"), "compared-classes")
-    texts = docs.join(checked_broadcast(wanted), "rk").dropDuplicates(["v"])
-    segs = materialize(segments(texts, words), "segments")
-
-    direct = verified_pairs(pairs, segs, percent)
-
-    placed = in_blocks(member)
-    spread = placed.join(segs.groupBy("v").agg(F.flatten(F.collect_list("shingles")).alias("shingles")), "v")
-    clustered = spread.groupBy("component", "i", "j").applyInPandas(block_links(percent), "a long, b long")
-    return direct.unionByName(clustered)
+    return met.where(F.col("met") >= enough).select("a", "b", "na", "nb")
+
+
+def leader_pairs(many: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b, na, nb) of the frequent prefix shingles (shingle, v, n): each class with
+    the leaders of its shingles.  The leader is b, whose set is joined last."""
+    lead = [F.min(F.struct(F.xxhash64(F.lit(k), "v").alias("h"), "v", "n")).alias(f"l{k}") for k in range(LEADERS)]
+    leaders = many.groupBy("shingle").agg(*lead).select("shingle", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("l"))
+    met = many.join(leaders, "shingle").select(F.col("v").alias("a"), F.col("l.v").alias("b"), F.col("n").alias("na"), F.col("l.n").alias("nb"))
+    return met.where((F.col("a") != F.col("b")) & fits(F.col("na"), F.col("nb"), percent)).distinct()
+
+
+def links(shared: DataFrame, texts_of, percent: int) -> DataFrame:
+    """Enough links (a, b) to connect all classes that are linked; ``shared``: the table of prefix
+    shingles (shingle, v, n, df), ``texts_of``: a function from classes (v) to their segments."""
+    many = materialize(shared.where(F.col("df") > FEW).select("shingle", "v", "n"), "frequent-prefixes")
+    pairs = direct_pairs(shared, percent).unionByName(leader_pairs(many, percent)).distinct()
+    pairs = materialize(pairs, "candidates")
+    release(shared)
+    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(many.select("v")).distinct()
+    segs = materialize(texts_of(wanted), "segments")
+    direct = materialize(verified_pairs(pairs, segs, percent), "direct-links")
+    release(pairs)
+
+    linked = materialize(parts_of(direct), "parts")
+    held = many.join(linked, "v", "left").withColumn("part", F.coalesce("part", "v"))
+    held = materialize(held, "frequent-parts")
+    release(many, linked)
+    # shingles whose classes are all in one part are settled
+    open_ = held.groupBy("shingle").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least <> most").select("shingle")
+    rest = materialize(held.join(open_, "shingle"), "open-prefixes")
+    release(held)
+    # parts and shingles are the two kinds of nodes: even and odd numbers
+    edges = rest.select(F.expr("shiftleft(xxhash64(1, part), 1)").alias("u"), F.expr("shiftleft(xxhash64(2, shingle), 1) | 1L").alias("v")).distinct()
+    clusters = connected_components(edges).select(F.col("node").alias("u"), "component")
+    member = rest.select("v", "n", "part", F.expr("shiftleft(xxhash64(1, part), 1)").alias("u")).distinct()
+    member = materialize(member.join(clusters, "u").select("component", "v", "n", "part"), "clusters")
+    release(rest)
+    spread = in_blocks(member).join(segs, "v")
+    met = materialize(spread.groupBy("component", "i", "j").applyInPandas(block_links(percent), "a long, b long"), "block-links")
+    release(segs, member)
+    return direct.unionByName(met)
 
 
 def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
@@ -267,17 +322,33 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> D
     that link with no other.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
-    rows = materialize(shingle_classes(docs, frequent_shingles(docs, percent, words), percent, words), "shingle-sets")
-    # equal sets are one class, told apart by 64 bits
-    classes = rows.where("n > 0").groupBy("v").agg(
-        F.min("doc_id").alias("doc"), F.min("rk").alias("rk"), F.min("n").alias("n"), F.first("prefix").alias("prefix"), F.count("*").alias("size")
-    )
+    frequent = frequent_shingles(docs, percent, words)
+    sets = materialize(shingle_classes(docs, frequent, percent, words).withColumn("uid", F.monotonically_increasing_id()), "shingle-sets")
+    release(frequent)
+    # equal sets are one class, told apart by 64 bits; its first row stands for it
+    classes = sets.where("n > 0").groupBy("v").agg(F.min("doc_id").alias("doc"), F.min("uid").alias("uid"), F.count("*").alias("size"))
     classes = materialize(classes, "shingle-classes")
-    linked = connected_components(links(classes, docs, percent, words).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = classes.select("v", "doc", "size").join(linked.withColumnRenamed("node", "v"), "v", "left")
-    named = named.where("size > 1 OR component IS NOT NULL").select("v", "doc", F.coalesce("component", "v").alias("component"))
+    repeats = classes.where("size > 1").select("v", F.col("uid").alias("first"))
+    rows = materialize(sets.select("doc_id", "rk", "n", "v", "uid"), "shingle-rows")
+    others = materialize(rows.where("n > 0").join(repeats, "v").where("uid <> first").select("uid"), "other-copies")
+    able = sets.where(100 * F.col("n") >= percent * (F.col("n") + 1)).join(checked_broadcast(others), "uid", "left_anti")
+    prefixes = able.select("v", "n", F.explode("prefix").alias("shingle"))
+    held = materialize(prefixes.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "held-shingles")
+    shared = materialize(prefixes.join(checked_broadcast(held), "shingle").select("shingle", "v", "n", "df"), "shared-prefixes")
+    release(held, sets)
+
+    def segments_of(wanted: DataFrame) -> DataFrame:
+        first = materialize(wanted.join(classes.select("v", "uid"), "v").join(rows.select("uid", "rk"), "uid").select("v", "rk"), "compared-classes")
+        # rows that are equal share a key: one of them stands for the class
+        return segments(docs.join(checked_broadcast(first), "rk").dropDuplicates(["v"]), words)
+
+    found = links(shared, segments_of, percent)
+    linked = materialize(parts_of(found), "components")
+    named = classes.select("v", "doc", "size").join(linked, "v", "left")
+    named = named.where("size > 1 OR part IS NOT NULL").select("v", "doc", F.coalesce("part", "v").alias("component"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     named = materialize(named.join(least, "component").select("v", "component", "component_id"), "components-of-classes")
+    release(others, linked, classes)
     out = rows.join(checked_broadcast(named), (rows["v"] == named["v"]) & (rows["n"] > 0), "left")
     return out.select("doc_id", "rk", F.col("n").alias("n_shingles"), "component", F.coalesce("component_id", "doc_id").alias("component_id"))
 
