@@ -10,9 +10,10 @@ overlaps are counted fragment by fragment, and the sums per pair decide.
 * Sets that are equal are one class; only classes are compared.  Pairs whose sizes alone rule
   the similarity out are never formed.
 * Prefix shingles that few classes hold give their pairs directly.
-* Prefix shingles that many classes hold (groups of near copies) would give pairs by the
-  square.  Each of their classes meets LEADERS leaders of the shingle instead.  As frequent
-  shingles come last in the order, only sets that consist of little else have them in a prefix.
+* Classes with a prefix shingle that many hold consist of little but frequent shingles.  All of
+  their shingles are counted among them, and they get a second prefix, of their rarest ones.
+* Second-prefix shingles that many classes still hold (groups of near copies) would give pairs
+  by the square.  Each of their classes meets LEADERS leaders of the shingle instead.
 * What leaders and direct pairs link is a part.  A frequent shingle whose classes are all in one
   part is settled.  The classes of the others are compared by blocks of bounded size, fragment
   by fragment inside a task, where classes of one large part meet those of others only; a task
@@ -48,8 +49,9 @@ COUNTED = 1.6
 SHARED = 4
 #: Frequent shingles are broadcast: at most this many by construction of their threshold.
 FREQUENT = 1 << 20
-#: Classes that hold a prefix shingle for it to give pairs directly; leaders of any other one.
-FEW, LEADERS = 16, 2
+#: Classes that hold a shingle of a first or second prefix for it to give pairs directly; leaders
+#: of any other one.
+FEW, FEW_AGAIN, LEADERS = 16, 48, 2
 FRAGMENTS = 8
 #: Shingles and classes of one block of a cluster, and columns that a task multiplies at once.
 BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 18, 2048, 4096
@@ -260,9 +262,17 @@ def parts_of(links: DataFrame) -> DataFrame:
     return connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("v"), F.col("component").alias("part"))
 
 
-def direct_pairs(shared: DataFrame, percent: int) -> DataFrame:
-    """Candidates (a, b, na, nb) of the prefix shingles (shingle, v, n, df)."""
-    few = shared.where(F.col("df") <= FEW)
+def second_prefixes(classes: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+    """(shingle, v, n, df) of the rarest shingles of each class (v, n), counted among them all."""
+    flat = segs.join(classes, "v").select("v", "n", F.explode("shingles").alias("shingle"))
+    counts = flat.groupBy("shingle").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("v").orderBy("df", "shingle"))
+    size = F.col("n") - F.ceil(F.col("n") * percent / 100) + SHARED
+    return flat.join(counts, "shingle").withColumn("rank", rank).where((F.col("rank") <= size) & (F.col("df") > 1)).select("shingle", "v", "n", "df")
+
+
+def direct_pairs(few: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b, na, nb) of prefix shingles (shingle, v, n) that few classes hold."""
     a = few.select("shingle", F.col("v").alias("a"), F.col("n").alias("na"))
     b = few.select("shingle", F.col("v").alias("b"), F.col("n").alias("nb"))
     met = a.join(b, "shingle").where((F.col("a") < F.col("b")) & fits(F.col("na"), F.col("nb"), percent))
@@ -284,12 +294,17 @@ def leader_pairs(many: DataFrame, percent: int) -> DataFrame:
 def links(shared: DataFrame, texts_of, percent: int) -> DataFrame:
     """Enough links (a, b) to connect all classes that are linked; ``shared``: the table of prefix
     shingles (shingle, v, n, df), ``texts_of``: a function from classes (v) to their segments."""
-    many = materialize(shared.where(F.col("df") > FEW).select("shingle", "v", "n"), "frequent-prefixes")
-    pairs = direct_pairs(shared, percent).unionByName(leader_pairs(many, percent)).distinct()
-    pairs = materialize(pairs, "candidates")
+    first = materialize(direct_pairs(shared.where(F.col("df") <= FEW), percent), "candidates")
+    hot = materialize(shared.where(F.col("df") > FEW).select("v", "n").distinct(), "frequent-classes")
     release(shared)
-    wanted = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).union(many.select("v")).distinct()
+    wanted = first.select(F.col("a").alias("v")).union(first.select("b")).union(hot.select("v")).distinct()
     segs = materialize(texts_of(wanted), "segments")
+    again = materialize(second_prefixes(hot, segs, percent), "second-prefixes")
+    release(hot)
+    many = materialize(again.where(F.col("df") > FEW_AGAIN).select("shingle", "v", "n"), "frequent-prefixes")
+    pairs = first.unionByName(direct_pairs(again.where(F.col("df") <= FEW_AGAIN), percent)).unionByName(leader_pairs(many, percent))
+    pairs = materialize(pairs.distinct(), "all-candidates")
+    release(first, again)
     direct = materialize(verified_pairs(pairs, segs, percent), "direct-links")
     release(pairs)
 
