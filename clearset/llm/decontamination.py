@@ -1,20 +1,23 @@
 """Benchmark decontamination by winnowing (DataFrame functions only).
 
-Texts become word hashes and hashes of ``GRAM`` consecutive words; of each run of
-``window - GRAM + 1`` such hashes the smallest is kept.  Both sides choose alike, so any
-span of ``window`` words that they share leaves a common fingerprint: joining the
-fingerprints finds every document that needs a closer look.  Those documents' windows are
-then joined with the benchmark's on 128-bit hashes, and hits that touch or overlap are
-extended into spans.  Items of fewer words than a window are one window each; documents
-are fingerprinted for just those lengths as well, without winnowing.
-
-Fingerprints of the benchmark are broadcast only behind a count; both joins otherwise
-shuffle on the fingerprint, after each document's repeats have been removed.
+Texts become word hashes and hashes of ``GRAM`` consecutive words; of each window, that is of
+``window - GRAM + 1`` such hashes, the smallest is its fingerprint.  Both sides choose alike, so
+every window of ``window`` words that they share has the same one: joining the fingerprints of
+all document windows with those of the benchmark leaves the places where a shared window can
+begin.  Only there texts are read again: the hit is extended to its whole window, which is joined
+with the benchmark's on 128-bit hashes, and windows that touch or overlap become one span.
+Items of fewer words than a window are one window each, whose fingerprint is that of all words;
+documents are fingerprinted for just those lengths as well.
+
+The first pass splits each text once and gives its number of words along with the places.
+Fingerprints of the benchmark are broadcast only behind a check of their size; both joins
+otherwise shuffle on the fingerprint.
 
 Defined cases: a null text, or one without words, has no words and no hits; ties between
-equal hashes do not matter, as values and not places are kept; rows that repeat a doc_id
-with the same text share one result; items that repeat an id count once; an empty table
-gives an empty result, an empty benchmark no hits; extra columns are ignored.
+equal hashes do not matter, as a fingerprint is a value; rows that repeat a doc_id with the
+same text share one result, rows that repeat it with another text have their own, and so have
+rows without an id; items that repeat an id count once; an empty table gives an empty result,
+an empty benchmark no hits; extra columns are ignored by ``scan`` and kept by ``decontaminate``.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearset.llm.text import lower_ascii, row_key
-from clearset.storage import checked_broadcast, materialize
+from clearset.storage import checked_broadcast, materialize, release
 
 #: Words of a window, and of the grams that fingerprints are chosen from.
 WINDOW, GRAM = 10, 5
@@ -45,51 +48,76 @@ def gram_hashes(hashes: str, n: int) -> Column:
 
 
 def fingerprints(rows: DataFrame, text: str, keys: list[str], window: int = WINDOW, lengths: tuple[int, ...] = (), gram: int = GRAM) -> DataFrame:
-    """Distinct (keys, fp): winnowed fingerprints, and all grams of the short ``lengths``."""
+    """(keys, n_words, n, pos, fp): the fingerprint of each window of ``window`` words, or of one of
+    the short ``lengths``, by its size n and its first word; and one row with n = 0 for each text."""
     run = window - gram + 1
     g = F.col("__g")
     # each array is used several times, so that the optimizer keeps it in a projection of its own
     d = rows.select(*keys, benchmark_words(F.col(text)).alias("__w"))
     d = d.select(*keys, F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"))
     d = d.select(*keys, "__h", gram_hashes("__h", gram).alias("__g"))
-    chosen = F.when(F.size(g) >= run, F.transform(F.sequence(F.lit(1), F.size(g) - (run - 1)), lambda i: F.array_min(F.slice(g, i, run)))).otherwise(F.array().cast("array<bigint>"))
-    found = F.array_distinct(F.concat(chosen, *[gram_hashes("__h", n) for n in lengths]))
-    return d.select(*keys, F.explode(found).alias("fp"))
+    none = F.array().cast("array<bigint>")
+    chosen = F.when(F.size(g) >= run, F.transform(F.sequence(F.lit(1), F.size(g) - (run - 1)), lambda i: F.array_min(F.slice(g, i, run)))).otherwise(none)
+    found = F.concat(F.array(F.lit(None).cast("long")), chosen, *[gram_hashes("__h", n) for n in lengths])
+    d = d.select(*keys, F.size("__h").alias("n_words"), F.posexplode(found).alias("__at", "fp"))
+    # the windows of each size follow each other
+    n, pos, before = F.when(F.col("__at") == 0, 0), F.when(F.col("__at") == 0, 0), F.lit(0)
+    for size in (window, *lengths):
+        upto = before + F.greatest(F.col("n_words") - (size - 1), F.lit(0))
+        n, pos = n.when(F.col("__at") <= upto, size), pos.when(F.col("__at") <= upto, F.col("__at") - before)
+        before = upto
+    return d.select(*keys, "n_words", n.alias("n"), pos.alias("pos"), "fp")
 
 
-def windows(rows: DataFrame, text: str, keys: list[str], sizes: Column) -> DataFrame:
-    """(keys, pos, n, w1, w2) of the windows of each text; ``sizes``: array of window sizes."""
-    d = rows.select(*keys, benchmark_words(F.col(text)).alias("__w"))
-    d = d.select(*keys, "__w", F.explode(F.filter(sizes, lambda n: n <= F.size("__w"))).alias("n"))
-    d = d.select(*keys, "n", "__w", F.explode(F.sequence(F.lit(1), F.size("__w") - F.col("n") + 1)).alias("pos"))
-    d = d.select(*keys, "n", "pos", F.array_join(F.slice("__w", F.col("pos"), F.col("n")), " ").alias("__t"))
-    return d.select(*keys, "n", "pos", F.xxhash64("__t").alias("w1"), F.xxhash64(F.lit(7), F.col("__t")).alias("w2"))
+def windows(rows: DataFrame, text: str, keys: list[str], places: Column) -> DataFrame:
+    """(keys, n, pos, w1, w2) of the windows of each text at ``places``, an array of (n, pos)."""
+    d = rows.select(*keys, places.alias("__p"), benchmark_words(F.col(text)).alias("__w"))
+    text_of = lambda p: F.array_join(F.slice(F.col("__w"), p["pos"], p["n"]), " ")
+    d = d.select(*keys, F.explode(F.transform("__p", lambda p: F.struct(p["n"].alias("n"), p["pos"].alias("pos"), text_of(p).alias("t")))).alias("w"))
+    return d.select(*keys, "w.n", "w.pos", F.xxhash64("w.t").alias("w1"), F.xxhash64(F.lit(7), F.col("w.t")).alias("w2"))
+
+
+def all_places(n: Column, size: Column) -> Column:
+    """The windows of ``size`` of a text of ``n`` words."""
+    return F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.struct(size.alias("n"), i.alias("pos")))
+
+
+def same_row(a: DataFrame, b: DataFrame) -> Column:
+    return (a["rk"] == b["rk"]) & a["doc"].eqNullSafe(b["doc"])
 
 
-def contaminated_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """(hits, pairs): (doc, rk, pos, n) of each document window that an item has, and the
-    distinct (doc, rk, item_id).  Both read tables in the shared folder."""
+def counted_and_found(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(counted, found): (doc, rk, n_words) of each row of ``docs``, and (doc, rk, n_hit, items) once
+    for each contaminated text; ``items``: sorted ids, as strings, of the items that have a window
+    in the text.  Both read tables in the shared folder."""
     d = docs.select(F.col("doc_id").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
-    b = items.select("item_id", "text").where(F.size(benchmark_words(F.col("text"))) > 0)
-    size = F.least(F.size(benchmark_words(F.col("text"))), F.lit(window))
+    b = items.select("item_id", "text", F.size(benchmark_words(F.col("text"))).alias("__words")).where("__words > 0")
+    b = b.withColumn("__n", F.least("__words", F.lit(window)))
     # at most ``window`` numbers
-    lengths = tuple(sorted(r[0] for r in b.select(size.alias("n")).distinct().collect() if r[0] < window))
-    b = b.withColumn("__n", size)
-    item_windows = b.select("item_id", "text", F.array("__n").alias("__sizes"))
-    wanted = windows(item_windows.withColumn("__id", F.col("item_id")), "text", ["__id", "__sizes"], F.col("__sizes"))
-    wanted = materialize(wanted.select(F.col("__id").alias("item_id"), "n", "w1", "w2").distinct(), "item-windows")
-
-    fps = materialize(fingerprints(b, "text", [], window, lengths).distinct(), "item-fingerprints")
-    found = fingerprints(d, "text", ["doc", "rk"], window, lengths).join(checked_broadcast(fps), "fp", "left_semi")
-    near = materialize(found.select("doc", "rk").distinct(), "near-benchmark")
-
-    n = near.select(F.col("doc").alias("__doc"), F.col("rk").alias("__rk"))
-    closer = d.join(checked_broadcast(n), (F.col("rk") == F.col("__rk")) & F.col("doc").eqNullSafe(F.col("__doc")), "left_semi").dropDuplicates(["doc", "rk"])
-    own = windows(closer, "text", ["doc", "rk"], F.array(*[F.lit(x) for x in (*lengths, window)]))
+    lengths = tuple(sorted(r[0] for r in b.select("__n").distinct().collect() if r[0] < window))
+
+    fps = fingerprints(b, "text", ["__n"], window, lengths).where("n = __n").select("n", "fp").distinct()
+    fps = materialize(fps.withColumn("known", F.lit(True)), "item-fingerprints")
+    marked = fingerprints(d, "text", ["doc", "rk"], window, lengths).join(checked_broadcast(fps), ["n", "fp"], "left")
+    marked = materialize(marked.where("n = 0 OR known").select("doc", "rk", "n_words", "n", "pos"), "window-places")
+    release(fps)
+
+    places = marked.where("n > 0").groupBy("doc", "rk").agg(F.collect_set(F.struct("n", "pos")).alias("places"))
+    places = materialize(places, "places-of-texts")
+    p = checked_broadcast(places)
+    closer = d.join(p, same_row(d, p)).select(d["doc"], d["rk"], "text", "places").dropDuplicates(["doc", "rk"])
+    own = windows(closer, "text", ["doc", "rk"], F.col("places"))
+    wanted = windows(b, "text", ["item_id"], all_places(F.col("__words"), F.col("__n")))
+    wanted = materialize(wanted.select("item_id", "n", "w1", "w2").distinct(), "item-windows")
     known = materialize(wanted.select("n", "w1", "w2").distinct(), "known-windows")
     hits = materialize(own.join(checked_broadcast(known), ["n", "w1", "w2"], "left_semi"), "window-hits")
     pairs = hits.select("doc", "rk", "n", "w1", "w2").distinct().join(checked_broadcast(wanted), ["n", "w1", "w2"])
-    return hits.select("doc", "rk", "pos", "n"), pairs.select("doc", "rk", "item_id").distinct()
+    named = pairs.groupBy("doc", "rk").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    by_text = hits.groupBy("doc", "rk").agg(covered(F.collect_list(F.struct("pos", "n"))).alias("n_hit"))
+    found = by_text.join(named, same_row(by_text, named)).select(by_text["doc"], by_text["rk"], "n_hit", "items")
+    found = materialize(found, "contaminated")
+    release(places, wanted, known, hits)
+    return marked.where("n = 0").select("doc", "rk", "n_words"), found
 
 
 def covered(hits: Column) -> Column:
@@ -104,28 +132,33 @@ def covered(hits: Column) -> Column:
     return F.aggregate(F.sort_array(hits), start, add, lambda a: a["words"])
 
 
+def _with_hits(rows: DataFrame, found: DataFrame, doc: Column, rk: Column) -> DataFrame:
+    """``rows`` with (n_hit, items) of their texts added."""
+    f = checked_broadcast(found.select(F.col("doc").alias("__doc"), F.col("rk").alias("__rk"), F.col("n_hit").alias("__hit"), F.col("items").alias("__items")))
+    out = rows.join(f, (rk == F.col("__rk")) & doc.eqNullSafe(F.col("__doc")), "left")
+    out = out.withColumn("n_hit", F.coalesce("__hit", F.lit(0)).cast("long")).withColumn("items", F.coalesce("__items", F.array().cast("array<string>")))
+    return out.drop("__doc", "__rk", "__hit", "__items")
+
+
+def scan(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(doc_id, rk, n_words, n_hit, items) of each row of ``docs`` (doc_id, text): its words, those in
+    windows that an item has, and the sorted ids, as strings, of these items."""
+    counted, found = counted_and_found(docs, items, window)
+    rows = counted.select(F.col("doc").alias("doc_id"), "rk", F.col("n_words").cast("long").alias("n_words"))
+    return _with_hits(rows, found, F.col("doc_id"), F.col("rk"))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with (n_words, n_hit, items) added; ``items``: sorted ids, as strings, of the
-    items that have a window in the document."""
-    hits, pairs = contaminated_spans(docs, items, window)
-    by_doc = hits.groupBy("doc", "rk").agg(covered(F.collect_list(F.struct("pos", "n"))).alias("__hit"))
-    named = pairs.groupBy("doc", "rk").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("__items"))
-    same = by_doc.alias("h").join(named.alias("i"), (F.col("h.rk") == F.col("i.rk")) & F.col("h.doc").eqNullSafe(F.col("i.doc")))
-    found = materialize(same.select(F.col("h.doc").alias("__doc"), F.col("h.rk").alias("__rk"), "__hit", "__items"), "contaminated")
-    d = docs.withColumn("__own", row_key(F.col("doc_id"), F.col("text")))
-    d = d.join(checked_broadcast(found), (F.col("__own") == F.col("__rk")) & F.col("doc_id").eqNullSafe(F.col("__doc")), "left")
-    return (
-        d.withColumn("n_words", F.size(benchmark_words(F.col("text"))).cast("long"))
-        .withColumn("n_hit", F.coalesce("__hit", F.lit(0)).cast("long"))
-        .withColumn("items", F.coalesce("__items", F.array().cast("array<string>")))
-        .drop("__own", "__doc", "__rk", "__hit", "__items")
-    )
+    """``docs`` with the (n_words, n_hit, items) of ``scan`` added."""
+    _, found = counted_and_found(docs, items, window)
+    out = docs.withColumn("n_words", F.size(benchmark_words(F.col("text"))).cast("long"))
+    return _with_hits(out, found, F.col("doc_id"), row_key(F.col("doc_id"), F.col("text")))
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return decontaminate(docs, items).select(
+    return scan(docs, items).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
     )
 
