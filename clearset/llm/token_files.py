@@ -1,7 +1,8 @@
 """Token-id files: whole texts as byte-level BPE ids in Simple-8b segments.
 
 Documents are range-partitioned by doc_id and sorted, so that partitions, segments and
-documents follow each other in ascending order (null first, repeats side by side).  Each
+documents follow each other in ascending order (null first, repeats in the order of a hash of
+their texts, so that a hot id is spread over many tasks).  Each
 task encodes its documents and packs runs of whole documents into segments, which are
 binary and describe themselves; Spark's Parquet writer stores them in the shared folder,
 where any reader that Spark has can fetch them.
@@ -24,6 +25,8 @@ from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,8 +39,8 @@ MAGIC, VERSION = b"S8BT", 1
 HEADER = struct.Struct("<4sIQQQQQ")  # magic, version, part, base, documents, ids, words
 #: A segment is closed once it holds so many ids.
 SEGMENT_IDS = 1 << 18
-#: Characters that are encoded at once, and words and pre-tokens that a worker remembers.
-PIECE_CHARS, CACHE_WORDS = 1 << 21, 700_000
+#: Bytes that are encoded at once, and words and pre-tokens that a worker remembers.
+PIECE_BYTES, CACHE_WORDS = 1 << 22, 700_000
 
 _byte_chars = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 #: Byte-level alphabets write each byte as a printable character: itself, or one from 256 on.
@@ -47,9 +50,10 @@ BYTE_TABLE = {b: (b if b in set(_byte_chars) else 256 + i - sum(c < b for c in _
 class ByteBpe:
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
-    A text is cut before each space, which is where words begin for the pattern of such
-    tokenizers; each different word is encoded once and remembered.  Texts with runs of
-    white space or with the string of a special token go through the library as a whole.
+    A text is cut at each space, which is where words begin for the pattern of such
+    tokenizers; Arrow splits and numbers the words of a batch, and each different one is encoded
+    once and remembered.  Texts with runs of white space or with the string of a special token
+    go through the library as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -76,26 +80,29 @@ class ByteBpe:
             ids = self.pieces[pre] = array("I", map(attrgetter("id"), self.bpe.tokenize(mapped))).tobytes()
         return ids
 
-    def word(self, w: str) -> bytes:
-        if w[1:].isalpha() and w[0] == " " and w.isascii():
+    def word(self, key: str) -> bytes:
+        """Ids of a word by its key: the word without the space before it or, at the beginning of
+        a text, with a space that it does not have."""
+        w = key[1:] if key[:1] == " " else " " + key
+        # letters of the Latin alphabets make one pre-token, whatever the version of Unicode
+        if w[1:].isalpha() and w[0] == " " and max(w) < "\u0250":
             return self.piece(w)
         return b"".join(map(self.piece, self.split(w)))
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids of each text)."""
-        words: list[str] = []
-        sizes = np.zeros(len(texts), np.int64)
-        apart: dict[int, list[int]] = {}
-        for i, t in enumerate(texts):
-            if self.runs(t) or any(s in t for s in self.special):
-                apart[i] = self.whole.encode(t, add_special_tokens=False).ids
-            elif t:
-                own = t.replace(" ", "\0 ").split("\0") if "\0" not in t else [w if j == 0 else " " + w for j, w in enumerate(t.split(" "))]
-                if not own[0]:
-                    del own[0]
-                sizes[i] = len(own)
-                words += own
-        code = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+    def encode(self, column: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a string column, ids of each text)."""
+        column = pa.array(column, pa.string()) if isinstance(column, list) else column
+        texts = column.to_pylist()
+        apart = {i: self.whole.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if t and (self.runs(t) or any(s in t for s in self.special))}
+        plain = np.ones(len(texts), bool)
+        plain[list(apart)] = False
+        parts = pc.split_pattern(pc.fill_null(pc.if_else(pa.array(plain), column, ""), ""), " ")
+        sizes = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = parts.flatten().dictionary_encode()
+        words, place = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        code = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))[place]
+        heads = np.cumsum(sizes) - sizes
+        code[heads] = [self.index[" " + words[i]] for i in place[heads]]
         if new := self.index.new:
             found = [self.word(w) for w in new]
             self.lens = np.concatenate([self.lens, np.fromiter(map(len, found), np.int32, len(found)) // 4])
@@ -164,26 +171,28 @@ def unpack(data: bytes) -> tuple[int, int, list, np.ndarray, np.ndarray]:
 def write_segments(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int = 0, text: str = "text", doc_id: str = "doc_id") -> None:
     """Encode ``docs`` into segments below ``path``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.col("text"))
+    # rows that share an id, or have none, are spread by their text
+    ranged = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, own = TaskContext.get().partitionId(), encoder(tokenizer, pattern)
         base, seq = 0, 0
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            doc_ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
-            for lo, hi in runs([len(t) for t in texts], PIECE_CHARS):
-                ids, counts = own.encode(texts[lo:hi])
+        for batch in batches:
+            column, doc_ids = batch.column(1).cast(pa.string()), batch.column(0).to_pylist()
+            for lo, hi in runs(pc.fill_null(pc.binary_length(column), 0).to_pylist(), PIECE_BYTES):
+                ids, counts = own.encode(column.slice(lo, hi - lo))
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 counts = counts + 1
                 edge = np.r_[0, np.cumsum(counts)]
                 for a, b in runs(counts.tolist(), SEGMENT_IDS):
                     payload = pack(part, base, doc_ids[lo + a : lo + b], counts[a:b], ids[edge[a] : edge[b]])
-                    yield pd.DataFrame({"part": [part], "seq": [seq], "n_ids": [int(edge[b] - edge[a])], "segment": [payload]})
-                    base += int(edge[b] - edge[a])
+                    n = int(edge[b] - edge[a])
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq]), pa.array([n]), pa.array([payload], pa.binary())], ["part", "seq", "n_ids", "segment"])
+                    base += n
                     seq += 1
 
-    ranged.mapInPandas(encode, "part int, seq long, n_ids long, segment binary").write.option("compression", "none").parquet(path)
+    files = ranged.select("doc_id", "text").mapInArrow(encode, "part int, seq long, n_ids long, segment binary")
+    files.write.option("compression", "none").parquet(path)
 
 
 def runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
