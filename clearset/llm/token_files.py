@@ -20,7 +20,9 @@ from __future__ import annotations
 import struct
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import islice
 from operator import attrgetter
 
 import numpy as np
@@ -40,20 +42,20 @@ HEADER = struct.Struct("<4sIQQQQQ")  # magic, version, part, base, documents, id
 #: A segment is closed once it holds so many ids.
 SEGMENT_IDS = 1 << 18
 #: Bytes that are encoded at once, and words and pre-tokens that a worker remembers.
-PIECE_BYTES, CACHE_WORDS = 1 << 22, 700_000
+PIECE_BYTES, CACHE_WORDS = 1 << 22, 600_000
 
 _byte_chars = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 #: Byte-level alphabets write each byte as a printable character: itself, or one from 256 on.
-BYTE_TABLE = {b: (b if b in set(_byte_chars) else 256 + i - sum(c < b for c in _byte_chars)) for i, b in enumerate(range(256))}
+BYTE_TABLE = "".join(chr(b if b in set(_byte_chars) else 256 + i - sum(c < b for c in _byte_chars)) for i, b in enumerate(range(256)))
 
 
 class ByteBpe:
     """Encodes texts with a byte-level BPE of the tokenizers library.
 
-    A text is cut at each space, which is where words begin for the pattern of such
-    tokenizers; Arrow splits and numbers the words of a batch, and each different one is encoded
-    once and remembered.  Texts with runs of white space or with the string of a special token
-    go through the library as a whole.
+    A text is cut at each space and before each line feed, which is where words begin for the
+    pattern of such tokenizers; Arrow splits and numbers the words of a batch, and each different
+    one is encoded once and remembered.  Texts with runs of white space or with the string of a
+    special token go through the library as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
@@ -74,19 +76,22 @@ class ByteBpe:
     def piece(self, pre: str) -> bytes:
         """Ids of one pre-token, as unsigned 32-bit integers."""
         if (ids := self.pieces.get(pre)) is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            mapped = "Ġ" + pre[1:] if pre[0] == " " and pre.isascii() and pre[1:].isalpha() else pre.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_TABLE)
+            if len(self.pieces) >= CACHE_WORDS // 2:
+                self.pieces = dict(islice(self.pieces.items(), CACHE_WORDS // 4))
+            mapped = charmap_decode(pre.encode("utf-8", "surrogatepass"), "strict", BYTE_TABLE)[0]
             ids = self.pieces[pre] = array("I", map(attrgetter("id"), self.bpe.tokenize(mapped))).tobytes()
         return ids
 
     def word(self, key: str) -> bytes:
         """Ids of a word by its key: the word without the space before it or, at the beginning of
-        a text, with a space that it does not have."""
-        w = key[1:] if key[:1] == " " else " " + key
+        a text, with a space that it does not have.  A line feed has no space before it."""
+        w = key[1:] if key[:1] == " " else key if key[:1] == "\n" else " " + key
         # letters of the Latin alphabets make one pre-token, whatever the version of Unicode
-        if w[1:].isalpha() and w[0] == " " and max(w) < "\u0250":
-            return self.piece(w)
+        if key and max(key) < "\u0250" and w[0] == " ":
+            if key.isalpha():
+                return self.piece(w)
+            if key[-1] in ",." and key[:-1].isalpha():
+                return self.piece(w[:-1]) + self.piece(w[-1])
         return b"".join(map(self.piece, self.split(w)))
 
     def encode(self, column: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +101,8 @@ class ByteBpe:
         apart = {i: self.whole.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if t and (self.runs(t) or any(s in t for s in self.special))}
         plain = np.ones(len(texts), bool)
         plain[list(apart)] = False
-        parts = pc.split_pattern(pc.fill_null(pc.if_else(pa.array(plain), column, ""), ""), " ")
+        whole = pc.fill_null(pc.if_else(pa.array(plain), column, ""), "")
+        parts = pc.split_pattern(pc.replace_substring(whole, "\n", " \n"), " ")
         sizes = parts.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         coded = parts.flatten().dictionary_encode()
         words, place = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
@@ -123,11 +129,9 @@ class ByteBpe:
                 parts[i] = np.array(own, np.uint32)
                 counts[i] = len(own)
             ids = np.concatenate(parts)
-        if len(self.index) > CACHE_WORDS:  # remember what this batch used
-            used = np.unique(code)[: CACHE_WORDS // 2]
-            names = list(self.index)
-            flat = [self.flat[b : b + k] for b, k in zip(begin[used].tolist(), self.lens[used].tolist())]
-            self.reset([names[c] for c in used.tolist()], self.lens[used], np.concatenate(flat))
+        if len(self.index) > CACHE_WORDS:  # the words met first are the commonest
+            half = CACHE_WORDS // 2
+            self.reset(list(islice(self.index, half)), self.lens[:half], self.flat[: int(self.lens[:half].sum())])
         return ids, counts
 
 
