@@ -87,7 +87,7 @@ class ByteBpe:
         a text, with a space that it does not have.  A line feed has no space before it."""
         w = key[1:] if key[:1] == " " else key if key[:1] == "\n" else " " + key
         # letters of the Latin alphabets make one pre-token, whatever the version of Unicode
-        if key and max(key) < "\u0250" and w[0] == " ":
+        if w[:1] == " " and key and max(key) < "\u0250":
             if key.isalpha():
                 return self.piece(w)
             if key[-1] in ",." and key[:-1].isalpha():
