@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearset.llm.text import held_out
+from clearset.llm.text import held_out, small_batches
 
 UNKNOWN = "und"
 NGRAMS = (1, 2, 3)
@@ -91,6 +91,7 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str
     Rows whose crc32(doc_id) mod 4 is 2, or whose label or text is null, are not used.
     """
     labelled = docs.where(F.col(label).isNotNull() & F.col(text).isNotNull() & ~held_out(F.col(doc_id)))
+    small_batches(docs.sparkSession)
     n = labelled.select(label).count()
     share = min(1.0, max_rows / max(n, 1))
     sample = labelled.where(F.pmod(F.xxhash64(F.lit("lang"), F.col(doc_id)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
@@ -123,6 +124,7 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", doc_id: str
 
 def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, text: str = "text") -> DataFrame:
     """``docs`` with (lang_pred, lang_score) added: the likeliest language and its posterior."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(logs)
     names = np.array([*langs, UNKNOWN], dtype=object)
 

@@ -7,8 +7,9 @@ them, so one row per hash and partition is what the counting shuffles.  The resu
 not text but, per document, a compressed bitmap of the lines that stay.
 
 Defined cases: a null or empty text is one empty line; lines whose key is shorter than
-``min_chars`` are never dropped; rows that repeat a doc_id with the same text share one
-bitmap and count as one document; a null doc_id is a document like any other; an empty
+``min_chars`` are never dropped; a document is a doc_id: rows that repeat one count once for
+the frequency of a line, whatever their texts, and rows without an id do not count, but all of
+them lose frequent lines; rows that repeat a doc_id with the same text share one bitmap; an empty
 table gives an empty result; extra columns are ignored and kept by ``apply_bitmaps``.
 """
 
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearset.llm.text import SPACES, lower_ascii, row_key
-from clearset.storage import checked_broadcast, materialize
+from clearset.storage import checked_broadcast, materialize, release
 
 
 def line_key(line: Column) -> Column:
@@ -55,11 +56,18 @@ def dropped_lines(lines: DataFrame, mode: str = "frequent", min_docs: int = 10)
     by_doc = ["h1", "h2", "doc", "rk"]
     in_doc = Window.partitionBy(*by_doc).orderBy("pos")
     # (hash, document) ranges with a secondary sort by position: the window needs no other exchange
+    lines = materialize(lines, "all-lines")  # ranges are found by a pass over the hashes alone
     ranged = lines.repartitionByRange(*by_doc).withColumn("nth", F.row_number().over(in_doc))
     ranged = materialize(ranged, "line-hashes")
+    release(lines)
     if mode == "frequent":
-        keys = ranged.where("nth = 1").groupBy("h1", "h2").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        # rows are documents or more of them: few keys need their ids told apart
+        rows = ranged.where("nth = 1 AND doc IS NOT NULL").groupBy("h1", "h2").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+        rows = materialize(rows.select("h1", "h2"), "lines-of-many-rows")
+        ids = ranged.where("nth = 1 AND doc IS NOT NULL").join(checked_broadcast(rows), ["h1", "h2"], "left_semi").select("h1", "h2", "doc").distinct()
+        keys = ids.groupBy("h1", "h2").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
         keys = materialize(keys.select("h1", "h2"), "frequent-lines")
+        release(rows)
         return ranged.join(checked_broadcast(keys), ["h1", "h2"], "left_semi").select("doc", "rk", "pos")
     if mode == "first":
         at = F.struct("doc", "rk", "pos")

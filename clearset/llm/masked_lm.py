@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import PIECE, word_hashes
+from clearset.llm.text import small_batches
 from clearset.storage import materialize
 
 SIDE, HIDDEN = 64, 24
@@ -161,6 +162,7 @@ def padded(classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def train(docs: DataFrame, text: str = "text") -> dict[str, np.ndarray]:
     """The averaged model after one pass of every partition over all its words."""
+    small_batches(docs.sparkSession)
     names = list(_ROWS)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

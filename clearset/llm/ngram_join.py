@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import set_key, sets_of
-from clearset.llm.text import row_key
+from clearset.llm.text import row_key, small_batches
 from clearset.operators.components import connected_components
 from clearset.storage import checked_broadcast, materialize, release
 
@@ -337,6 +337,7 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> D
     that link with no other.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
+    small_batches(docs.sparkSession)
     frequent = frequent_shingles(docs, percent, words)
     sets = materialize(shingle_classes(docs, frequent, percent, words).withColumn("uid", F.monotonically_increasing_id()), "shingle-sets")
     release(frequent)

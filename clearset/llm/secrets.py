@@ -81,14 +81,20 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, repo: str = "source", owner: str | None = None, live_owners: int = LIVE_OWNERS) -> DataFrame:
     """(doc, rk, base, added): spans (start, kind, end, repos, owners, live) of the documents
     that have any, in order; rk tells repeated ids apart."""
-    found = materialize(candidates(docs, repo, owner).withColumn("h", F.xxhash64("value")), "secret-candidates")
+    # values are secrets: only their 128-bit digests are written
+    found = candidates(docs, repo, owner).withColumn("h", F.substring(F.sha2(F.col("value").cast("binary"), 256), 1, 32)).drop("value")
+    found = materialize(found, "secret-candidates")
     counts = materialize(ownership(found), "secret-owners")
-    rated = found.join(checked_broadcast(counts), "h").withColumn("live", F.col("owners") <= live_owners)
+    rated = found.join(checked_broadcast(counts), "h").withColumn("live", F.col("owners") <= live_owners).dropDuplicates(["doc", "rk", "kind", "start"])
+    is_base = F.col("kind") < len(BASE)
+    by_start = Window.partitionBy("doc", "rk").orderBy("start")
+    # the base spans that begin before a span end, and those after it begin, outside it
+    upto = F.max(F.when(is_base, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.min(F.when(is_base, F.col("start"))).over(by_start.rangeBetween(1, Window.unboundedFollowing))
+    rated = rated.withColumn("clear", (F.coalesce(upto, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end")))
     span = F.struct("start", "kind", "end", "repos", "owners", "live")
-    by_doc = rated.dropDuplicates(["doc", "rk", "kind", "start"]).groupBy("doc", "rk").agg(F.sort_array(F.collect_list(span)).alias("all"))
-    by_doc = by_doc.withColumn("base", F.filter("all", lambda s: s["kind"] < len(BASE)))
-    apart = F.filter("all", lambda s: (s["kind"] >= len(BASE)) & s["live"] & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return by_doc.select("doc", "rk", "base", apart.alias("added"))
+    pick = lambda when: F.sort_array(F.collect_list(F.when(when, span)))
+    return rated.groupBy("doc", "rk").agg(pick(is_base).alias("base"), pick(~is_base & F.col("live") & F.col("clear")).alias("added"))
 
 
 def listed(spans: Column) -> Column:

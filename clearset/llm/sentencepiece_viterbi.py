@@ -40,6 +40,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clearset.llm.text import small_batches
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 SIDE_BY_SIDE = 48
@@ -337,6 +339,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
     ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum)
     or "merges" (the ids of the library).  Encoding and decoding share
     a task; batches are cut into pieces, so that a worker holds a few megabytes at a time."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "ids_crc32", "round_trip")]
     added = ["n_pieces long", "ids_crc32 long"] if digest else ["piece_ids array<int>"]
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), *added, *(["round_trip boolean"] if verify else [])]

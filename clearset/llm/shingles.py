@@ -25,7 +25,7 @@ def _power(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         with np.errstate(over="ignore"):
             have = np.cumprod(np.r_[np.uint64(1), np.full(max(n, PIECE) + 1, np.uint64(base))])
-        if n <= 4 * PIECE:
+        if n <= PIECE:
             _powers[base] = have
     return have[:n]
 

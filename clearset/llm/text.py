@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -10,6 +10,17 @@ _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = " \t\n\x0b\x0c\r"
 
 
+#: Texts that go to a Python worker at once, so that a batch takes a few megabytes on either side.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch to BATCH_ROWS, unless the session has set them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` is used for pure ASCII, where both agree and it is
     much cheaper than ``translate``."""

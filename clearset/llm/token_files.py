@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from clearset.llm import simple8b
 from clearset.llm.numbering import Numbers
+from clearset.llm.text import small_batches
 from clearset.storage import new_path
 
 MAGIC, VERSION = b"S8BT", 1
@@ -175,6 +176,7 @@ def unpack(data: bytes) -> tuple[int, int, list, np.ndarray, np.ndarray]:
 def write_segments(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int = 0, text: str = "text", doc_id: str = "doc_id") -> None:
     """Encode ``docs`` into segments below ``path``."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    small_batches(docs.sparkSession)
     # rows that share an id, or have none, are spread by their text
     ranged = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
 
