@@ -349,8 +349,9 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> D
     others = materialize(rows.where("n > 0").join(repeats, "v").where("uid <> first").select("uid"), "other-copies")
     able = sets.where(100 * F.col("n") >= percent * (F.col("n") + 1)).join(checked_broadcast(others), "uid", "left_anti")
     prefixes = able.select("v", "n", F.explode("prefix").alias("shingle"))
+    # shingles of several classes grow with the corpus: never broadcast
     held = materialize(prefixes.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"), "held-shingles")
-    shared = materialize(prefixes.join(checked_broadcast(held), "shingle").select("shingle", "v", "n", "df"), "shared-prefixes")
+    shared = materialize(prefixes.join(held.hint("merge"), "shingle").select("shingle", "v", "n", "df"), "shared-prefixes")
     release(held, sets)
 
     def segments_of(wanted: DataFrame) -> DataFrame:
