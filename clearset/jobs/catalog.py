@@ -265,7 +265,7 @@ def known_duplicate_places(spark, d):
 
 @query()
 def greedy_dedup(spark, d):
-    return dedup.greedy_dedup(_rows(spark, d), NEAR)
+    return dedup.greedy_dedup(_rows(spark, d), NEAR, bits=BITS)
 
 
 @query(f"""--with RECURSIVE
@@ -273,7 +273,7 @@ e AS (SELECT x.id AS u, y.id AS v FROM h x JOIN h y ON x.id <> y.id WHERE {_HAM}
 r AS (SELECT id, id AS reach FROM h UNION SELECT r.id, e.v FROM r JOIN e ON r.reach = e.u)
 SELECT id, min(reach) AS cluster FROM r GROUP BY id""")
 def duplicate_clusters(spark, d):
-    return dedup.duplicate_clusters(_rows(spark, d), 1)
+    return dedup.duplicate_clusters(_rows(spark, d), 1, bits=BITS)
 
 
 # ------------------------------------------------------------------ joins and cleaning
@@ -620,7 +620,7 @@ def three_axis_scores(spark, d):
 def filter_pipeline(spark, d):
     rows = _rows(spark, d)
     oof = rows.select("id", ((F.col("id") * 37 % 101) / F.lit(100.0)).alias("p"))
-    return scoring.filter_pipeline(rows, max_distance=1, oof=oof)[0]
+    return scoring.filter_pipeline(rows, max_distance=1, oof=oof, bits=BITS)[0]
 
 
 @query()

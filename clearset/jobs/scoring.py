@@ -36,12 +36,13 @@ def score_all(rows: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
     return out.select("id", *cleaning.SCORES), out.select("id", "label", "oof_pred_prob", *cleaning.SCORES)
 
 
-def filter_pipeline(rows: DataFrame, modules: tuple[str, ...] = ("duplicate", "ood", "mislabel"), max_distance: int = 4, contamination: float = 0.03, oof: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(cleaned (id, label), report) of (id, label, vec, hash) after the given modules."""
+def filter_pipeline(rows: DataFrame, modules: tuple[str, ...] = ("duplicate", "ood", "mislabel"), max_distance: int = 4, contamination: float = 0.03, oof: DataFrame | None = None, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(cleaned (id, label), report) of (id, label, vec, hash) after the given modules;
+    ``bits``: of a hash."""
     kind = rows.schema["id"].dataType.simpleString()
     parts = []
     if "duplicate" in modules:
-        parts.append(dedup.greedy_dedup(rows, max_distance).select("id", "suspicion_score", F.lit("duplicate").alias("noise_type")))
+        parts.append(dedup.greedy_dedup(rows, max_distance, bits=bits).select("id", "suspicion_score", F.lit("duplicate").alias("noise_type")))
     if "ood" in modules:
         found = outliers.isolation_forest(rows, contamination)
         parts.append(found.where("flagged").select("id", "suspicion_score", F.lit("ood").alias("noise_type")))
