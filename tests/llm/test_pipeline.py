@@ -78,3 +78,29 @@ def test_near_duplicates_go_by_row(spark, data):
     own = [r for r in got if r[0] == 3 and r[1].startswith("b")]
     assert len(own) == 1
     assert got == sorted([(1, a), (3, rows[2][1]), own[0], (5, c), rows[9], (9, None), (9, "")], key=str)
+
+
+def test_stages_keep_clashing_columns_and_take_empty_tables(spark, data):
+    item = spark.read.parquet(f"{data}/benchmark.parquet").first()["text"]
+    texts = ["a text of its own with words\nand a second line", None, "", "1 2 3", item, "a text of its own with words\nand a second line"]
+    names = ["rk", "doc", "lang_pred", "lang_score", "n_lines", "n_dropped", "kept_text", "component", "n_hit", "row"]
+    rows = [(i % 4 or None, t, "en" if i % 2 else None, "s", 1, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{n} string' for n in names)}")
+    kept = {"language_id": [0, 4, 5], "line_dedup": range(6), "near_duplicates": [1, 2, 3, 4, 5], "benchmark_decontamination": [0, 1, 2, 3, 5]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, data)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), data).count() == 0
+        got = sorted(out.collect(), key=lambda r: r["rk"])
+        assert [r["rk"] for r in got] == [f"rk{i}" for i in kept[name]], name
+        assert all(r[n] == f"{n}{r['rk'][2:]}" for r in got for n in names)
+        assert name != "language_id" or all(r["lang"] for r in got)
+
+
+def test_lines_of_repeated_ids_count_once(spark):
+    from clearset.llm import line_dedup
+
+    rows = [(i, f"shared\nown {i}") for i in range(9)] + [(8, "shared\nanother text"), (None, "shared\nno id"), (None, "shared\nno id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert line_dedup.keep_bitmaps(df).count() == 0
+    more = line_dedup.apply_bitmaps(df.unionByName(df.limit(1).selectExpr("99L AS doc_id", "text")), line_dedup.keep_bitmaps(df.unionByName(df.limit(1).selectExpr("99L AS doc_id", "text"))))
+    assert [r["n_dropped"] for r in more.collect()] == [1] * 13
