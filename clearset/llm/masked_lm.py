@@ -11,10 +11,13 @@ share of the class's occurrences, for which all different words of the corpus ar
 table (words are told apart by 64 bits); each class keeps one occurrence for words that the
 table does not hold.  The commonest FREQUENT words are broadcast; the others are summed by a join.
 
-Training reads the whole corpus: every partition runs stochastic gradient descent over all
-its words from the same start and returns its parameters, row by row, with the number of
-words that moved each row; Spark averages the rows by that weight.  What is gathered grows
-with the input, what reaches the driver is one model of fixed size.
+Training starts from the frequencies of the classes (as biases) and reads the whole corpus once,
+in ROUNDS: in each round every worker takes a share of the texts, dealt evenly, runs stochastic
+gradient descent over it from the model of the round before, and returns its parameters, row by
+row, with the number of words that moved each row; Spark averages the rows by that weight.  The
+number of workers follows from the number of words alone, so the model depends neither on how
+the table is partitioned nor on the size of the cluster, but for the dealing of texts.  What is
+gathered grows with the input, what reaches the driver is one model of fixed size a round.
 
 Defined cases: a null text, or one without words, scores 0 with 0 words; long texts are
 read whole, in pieces that overlap by the window; rows that repeat a doc_id train and score
@@ -23,40 +26,47 @@ each; an empty table leaves the starting model and gives an empty result; extra
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import PIECE, word_hashes
 from clearset.llm.text import small_batches
-from clearset.storage import materialize
+from clearset.storage import materialize, release
 
-SIDE, HIDDEN = 64, 24
+SIDE, HIDDEN = 64, 16
 CLASSES = SIDE * SIDE
 PAD = CLASSES
 #: Places of the window, relative to the masked word.
 WINDOW = (-2, -1, 1, 2)
 REACH = max(map(abs, WINDOW))
 BATCH, RATE = 2048, 0.08
+#: Rounds of averaging; words that a worker trains on, and the workers that small corpora are
+#: dealt to, if each gets FEW_WORDS.
+ROUNDS, WORKER_WORDS, FEW_WORKERS, FEW_WORDS = 4, 1 << 21, 8, 1 << 18
 #: Words that are broadcast with their counts, at most; words that are counted at once in a task.
 FREQUENT, COUNTED = 1 << 20, 1 << 22
-_ROWS = {"embed": len(WINDOW) * (CLASSES + 1), "high": SIDE, "low": SIDE, "given": SIDE, "high_bias": SIDE, "low_bias": SIDE}
+_PARTS = ("embed", "high", "low", "given", "high_bias", "low_bias")
 
 
-def start(seed: int = 5) -> dict[str, np.ndarray]:
+def start(totals: np.ndarray | None = None, seed: int = 5) -> dict[str, np.ndarray]:
+    """The model that knows how often each class occurs, and nothing of contexts."""
     rng = np.random.default_rng(seed)
     f = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
+    by_high = (np.ones(CLASSES) if totals is None else totals).reshape(SIDE, SIDE)
+    high = by_high.sum(axis=1, keepdims=True)
     return {
         "embed": f(len(WINDOW) * (CLASSES + 1), HIDDEN),
         "high": f(SIDE, HIDDEN),
         "low": f(SIDE, HIDDEN),
         "given": f(SIDE, HIDDEN),
-        "high_bias": np.zeros((SIDE, 1), np.float32),
-        "low_bias": np.zeros((SIDE, SIDE), np.float32),
+        "high_bias": np.log(high / high.sum()).astype(np.float32),
+        "low_bias": np.log(by_high / high).astype(np.float32),
     }
 
 
@@ -112,15 +122,24 @@ def step(m: dict[str, np.ndarray], moved: dict[str, np.ndarray], ids: np.ndarray
     m["high"] -= scale * (d1.T @ h)
     m["low"] -= scale * (d2.T @ h2)
     m["high_bias"] -= scale * d1.sum(axis=0)[:, None]
-    for name, index, grad in [("given", high, back2), ("low_bias", high, d2), *(("embed", r, back) for r in rows)]:
-        order = np.argsort(index.astype(np.int16), kind="stable")  # rows of a class side by side
-        sorted_ = index[order]
-        heads = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
-        n = np.diff(np.r_[heads, len(at)])
-        total = np.add.reduceat(grad[order], heads, axis=0)
-        total *= (rate / np.sqrt(n))[:, None].astype(np.float32)
-        m[name][sorted_[heads]] -= total
-        moved[name][sorted_[heads]] += n
+    # each row moves by the sum of its gradients over the root of their number
+    own = (high == np.arange(SIDE)[:, None]).astype(np.float32)
+    n = own.sum(axis=1)
+    pace = (rate / np.sqrt(np.maximum(n, 1)))[:, None]
+    m["given"] -= pace * (own @ back2)
+    m["low_bias"] -= pace * (own @ d2)
+    for name in ("given", "low_bias"):
+        moved[name] += n.astype(np.int64)
+    flat = rows.ravel()
+    order = np.argsort(flat.astype(np.int16), kind="stable")  # places of a row side by side
+    sorted_ = flat[order]
+    heads = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
+    n = np.diff(heads, append=len(flat))
+    upto = np.cumsum(back[order % len(at)], axis=0, dtype=np.float64)[heads + n - 1]
+    total = np.diff(upto, axis=0, prepend=0)
+    total *= (rate / np.sqrt(n))[:, None]
+    m["embed"][sorted_[heads]] -= total.astype(np.float32)
+    moved["embed"][sorted_[heads]] += n
     for name in ("high", "low", "high_bias"):
         moved[name] += len(at)
 
@@ -160,40 +179,70 @@ def padded(classes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return ids, at
 
 
-def train(docs: DataFrame, text: str = "text") -> dict[str, np.ndarray]:
-    """The averaged model after one pass of every partition over all its words."""
-    small_batches(docs.sparkSession)
-    names = list(_ROWS)
-
-    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = start()
-        moved = {k: np.zeros(len(v), np.int64) for k, v in m.items()}
-        rng = np.random.default_rng(3)
-        for batch in batches:
-            for classes, counts in word_classes(batch.column(0)):
-                ids, at = padded(classes, counts)
-                at = rng.permutation(at)
-                for a in range(0, len(at), BATCH):
-                    step(m, moved, ids, at[a : a + BATCH])
-        for k, name in enumerate(names):
-            live = np.flatnonzero(moved[name])
-            if len(live):
-                wide = np.zeros((len(live), SIDE), np.float32)
-                wide[:, : m[name].shape[1]] = m[name][live] * moved[name][live][:, None].astype(np.float32)
-                columns = [wide[:, j] for j in range(m[name].shape[1])] + [None] * (SIDE - m[name].shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(live), k, np.int32)), pa.array(live.astype(np.int32)), pa.array(moved[name][live]), *(pa.array(c, pa.float32()) if c is not None else pa.nulls(len(live), pa.float32()) for c in columns)],
-                    ["part", "row", "n", *(f"w{j}" for j in range(SIDE))],
-                )
-
-    schema = "part int, row int, n long, " + ", ".join(f"w{j} float" for j in range(SIDE))
-    sums = docs.select(text).mapInArrow(fit, schema).groupBy("part", "row")
-    mean = sums.agg(*[(F.sum(f"w{j}") / F.sum("n")).cast("float").alias(f"w{j}") for j in range(SIDE)])
-    found = mean.toPandas()  # one row for each row of the model
-    m = start()
-    for k, name in enumerate(names):
-        own = found[found["part"] == k]
-        m[name][own["row"].to_numpy()] = own[[f"w{j}" for j in range(m[name].shape[1])]].to_numpy(np.float32)
+def class_totals(words: DataFrame) -> np.ndarray:
+    """Occurrences of each class, and one more for words that the table does not hold."""
+    totals = np.ones(CLASSES)
+    for r in words.groupBy(F.col("word").bitwiseAND(CLASSES - 1).alias("c")).agg(F.sum("n").alias("n")).collect():
+        totals[r["c"]] += r["n"]
+    return totals
+
+
+def _strips(values: np.ndarray) -> np.ndarray:
+    """Rows of a part of the model as rows of HIDDEN values."""
+    width = -(-values.shape[1] // HIDDEN) * HIDDEN
+    wide = np.zeros((len(values), width), np.float32)
+    wide[:, : values.shape[1]] = values
+    return wide.reshape(-1, HIDDEN)
+
+
+def train(docs: DataFrame, text: str = "text", words: DataFrame | None = None, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """The model after one pass over all words; ``words``: the table (word, n) of ``vocabulary``."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    counted = words if words is not None else materialize(vocabulary(docs, text), "word-counts")
+    totals = class_totals(counted)
+    if words is None:
+        release(counted)
+    n_words = int(totals.sum()) - CLASSES
+    workers = max(1, -(-n_words // WORKER_WORDS), min(FEW_WORKERS, -(-n_words // FEW_WORDS)))
+    m = start(totals)
+    values = [f"w{j}" for j in range(HIDDEN)]
+
+    def round_of(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = {k: v.copy() for k, v in shared.value.items()}
+            moved = {k: np.zeros(len(v), np.int64) for k, v in m.items()}
+            rng = np.random.default_rng(3)
+            for batch in batches:
+                for classes, counts in word_classes(batch.column(0)):
+                    ids, at = padded(classes, counts)
+                    at = rng.permutation(at)
+                    for a in range(0, len(at), BATCH):
+                        step(m, moved, ids, at[a : a + BATCH])
+            for k, name in enumerate(_PARTS):
+                strips = _strips(m[name])
+                n = np.repeat(moved[name], len(strips) // len(m[name]))
+                live = np.flatnonzero(n)
+                if len(live):
+                    sums = strips[live] * n[live][:, None].astype(np.float32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(live), k, np.int32)), pa.array(live.astype(np.int32)), pa.array(n[live]), *(pa.array(sums[:, j]) for j in range(HIDDEN))], ["part", "strip", "n", *values]
+                    )
+
+        return fit
+
+    schema = "part int, strip int, n long, " + ", ".join(f"{w} float" for w in values)
+    for k in range(rounds):
+        shared = spark.sparkContext.broadcast(m)
+        own = docs.select(text).where(F.pmod(F.monotonically_increasing_id(), F.lit(rounds)) == k).repartition(workers)
+        sums = own.mapInArrow(round_of(shared), schema).groupBy("part", "strip")
+        found = sums.agg(*[(F.sum(w) / F.sum("n")).cast("float").alias(w) for w in values]).toPandas()  # the rows of one model
+        for p, name in enumerate(_PARTS):
+            rows = found[found["part"] == p]
+            strips = _strips(m[name])
+            strips[rows["strip"].to_numpy()] = rows[values].to_numpy(np.float32)
+            m[name] = strips.reshape(len(m[name]), -1)[:, : m[name].shape[1]].copy()
+        shared.destroy()
     return m
 
 
@@ -262,9 +311,7 @@ def score_words(docs: DataFrame, model: dict[str, np.ndarray], words: DataFrame,
     names = common["word"].to_numpy().view(np.uint64)
     order = np.argsort(names)
     log_n = np.log(common["n"].to_numpy()[order]).astype(np.float32)
-    totals = np.ones(CLASSES)
-    for r in words.groupBy(F.col("word").bitwiseAND(CLASSES - 1).alias("c")).agg(F.sum("n").alias("n")).collect():
-        totals[r["c"]] += r["n"]
+    totals = class_totals(words)
     # words that occur once, or never, count log 1
     joined = least > 2
     shared = docs.sparkSession.sparkContext.broadcast((model, names[order], log_n, np.log(totals)))
@@ -315,7 +362,7 @@ def score_words(docs: DataFrame, model: dict[str, np.ndarray], words: DataFrame,
 def op4_masked_lm(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     words = materialize(vocabulary(docs), "word-counts")
-    out = score_words(docs, train(docs), words)
+    out = score_words(docs, train(docs, words=words), words)
     each = F.greatest("n_words", F.lit(1))
     return out.select(
         "doc_id", "n_words", "log_prob", (F.col("log_prob") / each).alias("per_word"), "word_log_prob", (F.col("word_log_prob") / each).alias("word_per_word")

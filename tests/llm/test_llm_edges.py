@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from clearset.llm import decontamination, graph_ann, lang_id, line_dedup, masked_lm, ngram_join, secrets, sentencepiece_viterbi as spv, shingles, simple8b, token_files, toxicity  # noqa: E402
+from clearset.storage import materialize  # noqa: E402
 
 LONG = " ".join(f"w{i % 977} x{i % 13}" for i in range(30_000))
 SCHEMA = "doc_id long, text string, lang string, source string, doc string, rk string, n string, v string, pos string, key string, start string, end string"
@@ -113,7 +114,7 @@ def test_masked_model_is_a_distribution_and_sums_over_all_words(spark, messy, em
 def test_words_of_one_class_are_told_apart(spark, messy, empty, monkeypatch, frequent):
     monkeypatch.setattr(masked_lm, "FREQUENT", frequent)
     seen = spark.createDataFrame([(i, "the cat the dog " * 3 + "pair" * (i > 7)) for i in range(10)], "doc_id long, text string").unionByName(messy.select("doc_id", "text"))
-    model, words = masked_lm.train(seen), masked_lm.vocabulary(seen).localCheckpoint()
+    model, words = masked_lm.train(seen), materialize(masked_lm.vocabulary(seen), "word-counts")
     hashed = lambda t: shingles.word_hashes(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))[0].tolist()
     n = {}
     for r in seen.collect():
@@ -132,6 +133,32 @@ def test_words_of_one_class_are_told_apart(spark, messy, empty, monkeypatch, fre
     assert masked_lm.score_words(empty.select("doc_id", "text"), model, words).count() == 0
 
 
+def test_masked_model_does_not_depend_on_partitions(spark, monkeypatch):
+    # words of two kinds of documents: every word but the first of a chain follows from its neighbours
+    monkeypatch.setattr(masked_lm, "FEW_WORDS", 1 << 15)
+    rng = np.random.default_rng(1)
+    def text():
+        return " ".join(f"k{(a + i) % 300}" for a in rng.integers(0, 300, 20) for i in range(12))
+    kept = spark.createDataFrame([(i, text()) for i in range(1000)], "doc_id long, text string")
+    own = [text() for _ in range(60)]
+    mixed = [" ".join(rng.permutation(t.split())) for t in own]
+    held = spark.createDataFrame(list(enumerate(own + mixed)), "doc_id long, text string")
+    words = materialize(masked_lm.vocabulary(kept), "word-counts")
+    means = []
+    for n in (4, 64):
+        got = masked_lm.score(held, masked_lm.train(kept.repartition(n), words=words)).orderBy("doc_id").toPandas()
+        each = (got["log_prob"] / got["n_words"]).to_numpy()
+        assert (each[:60] > each[60:]).all()  # the words of a text in another order are less likely
+        means.append(each[:60].mean())
+    counts = masked_lm.class_totals(words)
+    unigram = masked_lm.start(counts)
+    unigram["embed"][:] = 0
+    unigram["given"][:] = 0
+    base = masked_lm.score(held.where("doc_id < 60"), unigram).selectExpr("sum(log_prob) / sum(n_words)").first()[0]
+    assert base == pytest.approx(-np.log(300), abs=0.3)
+    assert abs(means[0] - means[1]) < 0.1 and min(means) > base + 0.5
+
+
 def lines_brute(rows, least=10):
     key = lambda x: re.sub(r"^[ \t-\r]+|[ \t-\r]+$", "", re.sub("[A-Z]", lambda m: m[0].lower(), x))
     seen = {}
