@@ -276,6 +276,26 @@ def duplicate_clusters(spark, d):
     return dedup.duplicate_clusters(_rows(spark, d), 1, bits=BITS)
 
 
+#: Cuts of the wide stand-in hash: one word of 64 bits each, 256 bits in all.
+CUTS = (-0.1, 0.0, 0.1, 0.2)
+_WIDE = "list_sum(list_transform(range(1, 65), lambda i: " + " + ".join(f"CAST((x.vec[i] > {c}) <> (y.vec[i] > {c}) AS INT)" for c in CUTS) + "))"
+
+
+def _wide(spark: SparkSession, d: str) -> DataFrame:
+    words = F.array(*[similarity.sign_hash("vec", 64, c) for c in CUTS])
+    return _rows(spark, d).select("id", "vec", words.alias("hash"))
+
+
+@query(f"SELECT id, nn_id, round(sim, 6) AS dup_score FROM ({_nn(f'(1 - {_WIDE} / CAST(256 AS DOUBLE))', 'b x JOIN b y ON x.id <> y.id')})")
+def wide_hash_dup_score(spark, d):
+    return _rounded(similarity.dup_scores(_wide(spark, d).select("id", "hash"), 256), "dup_score")
+
+
+@query(f"SELECT id, nn_id, round(least(1, greatest(0, sim)), 6) AS dup_score FROM ({_nn(f'(0.6 * (1 - {_WIDE} / CAST(256 AS DOUBLE)) + 0.4 * {_COS})', 'b x JOIN b y ON x.id <> y.id')})")
+def wide_fused_dup_score(spark, d):
+    return _rounded(similarity.dup_scores(_wide(spark, d), 256), "dup_score")
+
+
 # ------------------------------------------------------------------ joins and cleaning
 @query("""SELECT l.doc_id AS id, coalesce(ood_score, 0) AS ood_score, coalesce(dup_score, 0) AS dup_score, coalesce(mislabel_score, 0) AS mislabel_score, s.id IS NULL AS scores_missing
 FROM labels l LEFT JOIN s ON l.doc_id = s.id""")

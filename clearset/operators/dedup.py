@@ -21,8 +21,8 @@ def greedy_dedup(df: DataFrame, max_distance: int, id_col: str = "id", hash_col:
 
     As if in id order each row that is still there removed all later rows within the
     distance.  By rounds: a row whose smaller neighbours are all removed leads, and removes
-    its larger ones; rows with equal hashes share their first row's fate.  ``bits``: of a hash, so
-    that no band of it is constant.  Raises if ``max_rounds`` do not settle every row.
+    its larger ones; rows with equal hashes share their first row's fate.  A hash is a long
+    or an array of longs; ``bits``: of all its words, so that no band is constant.  Raises if ``max_rounds`` do not settle every row.
     """
     classes = materialize(_classes(df, id_col, hash_col), "hash-classes")
     pairs = near_hashes(df, max_distance, hash_col, bits)

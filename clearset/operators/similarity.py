@@ -8,41 +8,60 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of one block of the neighbour search: two blocks and their distances fit a task.
 BLOCK_ROWS = 2048
 
 
-def sign_hash(vector: str, n: int = 64) -> Column:
-    """Hash of the first ``n`` components of a vector: one bit each, 1 where positive, the
-    first component highest."""
-    bits = F.transform(F.slice(vector, 1, n), lambda x: F.when(x > 0, F.lit(1)).otherwise(F.lit(0)).cast("long"))
+def sign_hash(vector: str, n: int = 64, above: float = 0.0) -> Column:
+    """Hash of the first ``n`` components of a vector: one bit each, 1 where greater than
+    ``above``, the first component highest."""
+    bits = F.transform(F.slice(vector, 1, n), lambda x: F.when(x > above, F.lit(1)).otherwise(F.lit(0)).cast("long"))
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 
-def hamming(a: Column, b: Column) -> Column:
+def hamming(a: Column, b: Column, wide: bool = False) -> Column:
+    """Differing bits of two hashes; ``wide``: arrays of 64-bit words of one length."""
+    if wide:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     return F.bit_count(a.bitwiseXOR(b))
 
 
+def is_wide(df: DataFrame, hash_col: str = "hash") -> bool:
+    return isinstance(df.schema[hash_col].dataType, T.ArrayType)
+
+
+def _band(word: Callable[[int], Column], start: int, end: int) -> Column:
+    """The bits ``start`` to ``end`` (exclusive) of a hash as an array, an entry for each word
+    that they touch; bit 0 is the lowest of the first word."""
+    pieces = []
+    for w in range(start // 64, -(-end // 64)):
+        low, high = max(start - 64 * w, 0), min(end - 64 * w, 64)
+        piece = F.shiftrightunsigned(word(w), low)
+        pieces.append(piece.bitwiseAND(F.lit((1 << (high - low)) - 1)) if high - low < 64 else piece)
+    return F.array(*pieces)
+
+
 def near_hashes(df: DataFrame, max_distance: int, hash_col: str = "hash", bits: int = 64) -> DataFrame:
     """(ha, hb, dist) of all pairs of different hashes within ``max_distance``, ha < hb.
 
-    Hashes that differ in so few bits agree on one of max_distance + 1 bands, so an
+    A hash is a long, or an array of longs (``bits`` counts those of all words, arrays have one
+    length).  Hashes that differ in so few bits agree on one of max_distance + 1 bands, so an
     equi-join on (band, bits of the band) finds every pair.  Each hash is one row of it,
     however many ids share it.
     """
+    wide = is_wide(df, hash_col)
     distinct = df.where(F.col(hash_col).isNotNull()).select(F.col(hash_col).alias("h")).distinct()
     bands = max_distance + 1
     edges = [bits * i // bands for i in range(bands + 1)]
-
-    def band(i: int) -> Column:
-        width = edges[i + 1] - edges[i]
-        key = F.shiftrightunsigned("h", edges[i])
-        return F.struct(F.lit(i).alias("band"), (key.bitwiseAND(F.lit((1 << width) - 1)) if width < 63 else key).alias("key"))
-
-    banded = distinct.select("h", F.explode(F.array(*[band(i) for i in range(bands)])).alias("k")).select("h", "k.band", "k.key")
+    word = (lambda w: F.element_at("h", w + 1)) if wide else (lambda w: F.col("h"))
+    keys = [F.struct(F.lit(i).alias("band"), _band(word, edges[i], edges[i + 1]).alias("key")) for i in range(bands) if edges[i] < edges[i + 1]]
+    if len(keys) < bands:
+        raise ValueError(f"max_distance {max_distance} leaves no bit for each band of {bits} bits")
+    banded = distinct.select("h", F.explode(F.array(*keys)).alias("k")).select("h", "k.band", "k.key")
     a, b = banded.select(F.col("h").alias("ha"), "band", "key"), banded.select(F.col("h").alias("hb"), "band", "key")
-    near = a.join(b, ["band", "key"]).where(F.col("ha") < F.col("hb")).withColumn("dist", hamming(F.col("ha"), F.col("hb")).cast("int"))
+    near = a.join(b, ["band", "key"]).where(F.col("ha") < F.col("hb")).withColumn("dist", hamming(F.col("ha"), F.col("hb"), wide).cast("int"))
     return near.where(F.col("dist") <= max_distance).select("ha", "hb", "dist").distinct()
 
 
@@ -79,11 +98,21 @@ def cosine(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
     return x @ y.T
 
 
+def _words(hashes: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(known, words) of hashes that are longs or arrays of longs: one row a hash, zeros where null."""
+    known = np.array([h is not None and not (np.isscalar(h) and pd.isna(h)) for h in hashes], bool)
+    live = [np.atleast_1d(np.asarray(h, dtype=np.int64)) for h in hashes[known]]
+    words = np.zeros((len(hashes), len(live[0]) if live else 1), np.int64)
+    if live:
+        words[known] = np.stack(live)
+    return known, words.view(np.uint64)
+
+
 def _hamming_matrix(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
-    a, b = (np.array([np.nan if h is None else h for h in x["hash"]], dtype=object) for x in (q, c))
-    known_a, known_b = (~pd.isna(x) for x in (a, b))
-    ia, ib = (np.where(k, x, 0).astype(np.int64).view(np.uint64) for k, x in ((known_a, a), (known_b, b)))
-    d = np.bitwise_count(ia[:, None] ^ ib[None, :]).astype(np.float64)
+    (known_a, a), (known_b, b) = _words(q["hash"]), _words(c["hash"])
+    d = np.zeros((len(a), len(b)))
+    for w in range(min(a.shape[1], b.shape[1])):
+        d += np.bitwise_count(a[:, w][:, None] ^ b[:, w][None, :])
     d[~known_a] = np.inf
     d[:, ~known_b] = np.inf
     return d

@@ -183,3 +183,41 @@ def test_mask_coverage(spark):
     df = spark.createDataFrame(rows, "id string, det_label int, det_score double, mask binary, height int, width int")
     ids = spark.createDataFrame([("a",), ("b",)], "id string")
     assert by_id(outliers.mask_coverage(df, ids), "person_ratio") == {"a": 0.5, "b": 0.0}
+
+
+def test_hashes_of_four_words(spark):
+    rng = np.random.default_rng(5)
+    centers = rng.integers(-(2**63), 2**63 - 1, (12, 4))
+    rows = []
+    for i in range(120):
+        words = [int(w) for w in centers[rng.integers(12)]]
+        for bit in rng.integers(0, 256, rng.integers(0, 4)):
+            words[bit // 64] ^= -(1 << 63) if bit % 64 == 63 else 1 << int(bit % 64)
+        rows.append((i, None if i % 40 == 7 else words))
+    df = spark.createDataFrame(rows, "id long, hash array<long>")
+    wide = lambda g, h: sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(g, h))
+    known = [(i, h) for i, h in rows if h is not None]
+    want = {(i, j): wide(g, h) for i, g in known for j, h in known if i < j and wide(g, h) <= 4}
+    assert {(r["id_a"], r["id_b"]): r["dist"] for r in similarity.hamming_pairs(df, 4, bits=256).collect()} == want
+    leaders, gone = {}, set()
+    for i, _ in known:
+        if i not in gone:
+            for (a, b), d in sorted(want.items()):
+                if a == i and b not in gone:
+                    leaders[b] = (i, d)
+                    gone.add(b)
+    assert {r["id"]: (r["leader"], r["dist"]) for r in dedup.greedy_dedup(df, 4, bits=256).collect()} == leaders
+    clusters = by_id(dedup.duplicate_clusters(df, 4, bits=256), "cluster")
+    assert all(clusters[a] == clusters[b] for a, b in want) and clusters[7] == 7
+    scores = by_id(similarity.dup_scores(df, 256), "dup_score")
+    assert scores[7] == 0
+    for i, g in known:
+        assert scores[i] == pytest.approx(1 - min(wide(g, h) for j, h in known if j != i) / 256)
+
+
+def test_image_hashes_feed_the_duplicate_axis(spark):
+    vectors = spark.createDataFrame([(i, [float((i // 2 * 37 + j * (i // 2 + 3)) % 11 - 5) / 10 for j in range(64)]) for i in range(12)], "id long, vec array<double>")
+    found = images.image_features(images.rasters_from_vectors(vectors), 16).select("id", "hash")
+    assert {len(r["hash"]) for r in found.collect()} == {4}
+    assert {r["id"]: r["leader"] for r in dedup.greedy_dedup(found, 4, bits=256).collect() if r["id"] % 2}.items() >= {i: i - 1 for i in range(1, 12, 2)}.items()
+    assert all(s == 1 for s in by_id(similarity.dup_scores(found, 256), "dup_score").values())
