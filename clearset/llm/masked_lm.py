@@ -234,8 +234,8 @@ def train(docs: DataFrame, text: str = "text", words: DataFrame | None = None, r
     schema = "part int, strip int, n long, " + ", ".join(f"{w} float" for w in values)
     for k in range(rounds):
         shared = spark.sparkContext.broadcast(m)
-        own = docs.select(text).where(F.pmod(F.monotonically_increasing_id(), F.lit(rounds)) == k).repartition(workers)
-        sums = own.mapInArrow(round_of(shared), schema).groupBy("part", "strip")
+        own = docs.select(text, F.monotonically_increasing_id().alias("__at")).where(F.pmod("__at", F.lit(rounds)) == k)
+        sums = own.repartition(workers, "__at").select(text).mapInArrow(round_of(shared), schema).groupBy("part", "strip")
         found = sums.agg(*[(F.sum(w) / F.sum("n")).cast("float").alias(w) for w in values]).toPandas()  # the rows of one model
         for p, name in enumerate(_PARTS):
             rows = found[found["part"] == p]
