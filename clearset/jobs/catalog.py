@@ -633,7 +633,20 @@ def mislabel_in_sample(spark, d):
 
 @query()
 def three_axis_scores(spark, d):
-    return scoring.score_all(_rows(spark, d))[0]
+    return scoring.score_all(_rows(spark, d), features=_features(spark, d)).scores
+
+
+@query(f"""--with
+{_FEATURES}, {_KNN},
+r AS (SELECT id, {_ord('g')} AS g, {_ord('dk')} AS dk, {_ord('sk')} AS sk, {_ord('ve')} AS ve, {_ord('w')} AS w, {_ord('o')} AS o FROM f),
+p AS (SELECT *, 0.5 * g + dk - sk - ve AS panel FROM r),
+q AS (SELECT id, greatest(1 - {_ord('panel')}, w, o) AS hc, w, o FROM p),
+t AS (SELECT q.id, hc, w, o, knn FROM q JOIN k ON q.id = k.id),
+u AS (SELECT id, greatest(0.5 * hc + 0.5 * {_ord('knn')}, w, o) AS hc FROM t),
+v AS (SELECT f.id, z, o, hc FROM f JOIN u ON f.id = u.id)
+SELECT id, round(greatest(0.7 * {_ord('z')} + 0.3 * {_ord('hc')}, {_ord('o')}), 6) AS ood_score, round(hc, 6) AS ood_score_handcrafted FROM v""")
+def off_topic_scores(spark, d):
+    return _rounded(scoring.off_topic(_features(spark, d), _rows(spark, d).select("id", "vec")), "ood_score", "ood_score_handcrafted")
 
 
 @query()

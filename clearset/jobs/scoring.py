@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -15,17 +16,47 @@ from clearset.operators import cleaning, dedup, mislabel, outliers, ranking, sim
 from clearset.storage import materialize
 
 
-def score_all(rows: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(score table, diagnostic table) of (id, label, vec, hash, text).
+#: Image features that make the hand-crafted off-topic score.
+HANDCRAFTED = ("grid_regularity", "dark_blue_gray", "skin_ratio", "vegetation_ratio", "watermark_ratio", "ocr_text_length")
+
+
+def off_topic(features: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
+    """(id, ood_score, ood_score_handcrafted) of (id, the HANDCRAFTED features and, if there,
+    zero_shot and person_ratio) and (id, vec)."""
+    near = similarity.mean_neighbour_distance(vectors, vectors, k)
+    hand = materialize(outliers.handcrafted_score(features, near).withColumnRenamed("ood_score", "handcrafted"), "handcrafted")
+    more = [c for c in ("zero_shot", "person_ratio") if c in features.columns]
+    fused = outliers.fused_score(features.select("id", "ocr_text_length", *more).join(hand, "id"))
+    return fused.join(hand.withColumnRenamed("handcrafted", "ood_score_handcrafted"), "id")
+
+
+class ScoreTables(NamedTuple):
+    scores: DataFrame
+    diagnostics: DataFrame
+    features: DataFrame | None
+
+
+def score_all(rows: DataFrame, k: int = 5, features: DataFrame | None = None) -> ScoreTables:
+    """Score, diagnostic and feature tables of (id, label, vec, hash, text).
 
     Duplicate score and off-topic score first; rows beyond their percentiles train no label
     model, the others are weighted by how typical they are; rows that share a near duplicate
-    with another label are suspected at least a little.
+    with another label are suspected at least a little.  With ``features`` (see ``off_topic``)
+    the off-topic score is the fused one, a person_ratio above its threshold excludes a row
+    as well, and the third table holds the features; without, the mean of ranks takes its place.
     """
     dup = materialize(similarity.dup_scores(rows.select("id", "hash", "vec")), "dup-scores")
-    ood = materialize(outliers.rank_average_score(rows, k), "ood-scores")
-    d = rows.select("id", "label", "vec").join(dup, "id").join(ood, "id")
-    excluded = cleaning.hard_mask(d.select("id", "dup_score", "ood_score"))
+    if features is None:
+        ood = outliers.rank_average_score(rows, k)
+    else:
+        ood = off_topic(features, rows.select("id", "vec"), k)
+    ood = materialize(ood, "ood-scores")
+    d = rows.select("id", "label", "vec").join(dup, "id").join(ood.select("id", "ood_score"), "id")
+    signals = ["dup_score", "ood_score"]
+    if features is not None and "person_ratio" in features.columns:
+        d = d.join(features.select("id", "person_ratio"), "id")
+        signals.append("person_ratio")
+    excluded = cleaning.hard_mask(d.select("id", *signals))
     d = materialize(d.join(excluded, "id").withColumn("weight", scores.soft_weight(F.col("ood_score"))), "score-input")
     found = mislabel.mislabel_scores(d, excluded="excluded", weight="weight")
     cut = ranking.quantiles(d, {"dup_score": 0.95}).first()[0]
@@ -33,7 +64,19 @@ def score_all(rows: DataFrame, k: int = 5) -> tuple[DataFrame, DataFrame]:
     out = d.select("id", "label", "dup_score", "ood_score").join(found, "id").join(conflict, "id", "left")
     out = out.withColumn("mislabel_score", scores.boosted(F.col("mislabel_score"), F.coalesce("conflict", F.lit(False))))
     out = materialize(out, "scores")
-    return out.select("id", *cleaning.SCORES), out.select("id", "label", "oof_pred_prob", *cleaning.SCORES)
+    table = None
+    if features is not None:
+        raw = F.col("zero_shot") if "zero_shot" in features.columns else F.lit(None).cast("double")
+        values = features.select("id", raw.alias("zero_shot"), *HANDCRAFTED)
+        table = rows.select("id", "label").join(ood, "id").join(values, "id")
+    return ScoreTables(out.select("id", *cleaning.SCORES), out.select("id", "label", "oof_pred_prob", *cleaning.SCORES), table)
+
+
+def write_tables(tables: ScoreTables, path: str, mode: str = "error") -> None:
+    """Write each table of ``score_all`` as Parquet below ``path``: scores, diagnostics, features."""
+    for name, table in tables._asdict().items():
+        if table is not None:
+            table.write.mode(mode).parquet(f"{path}/{name}")
 
 
 def filter_pipeline(rows: DataFrame, modules: tuple[str, ...] = ("duplicate", "ood", "mislabel"), max_distance: int = 4, contamination: float = 0.03, oof: DataFrame | None = None, bits: int = 64) -> tuple[DataFrame, DataFrame]:

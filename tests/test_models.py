@@ -44,6 +44,23 @@ def test_batch_predictions_and_fold_models(spark, flipped):
     assert got.count() == 400 and got.groupBy("id").avg("p").select("avg(p)").distinct().collect()[0][0] == 0.5
 
 
+def test_three_axis_job(spark, flipped, tmp_path):
+    df, _ = flipped
+    at = [f"vec[{i}] AS {c}" for i, c in enumerate(scoring.HANDCRAFTED)]
+    features = df.selectExpr("id", *at, "vec[6] AS zero_shot", "IF(id = 5, 0.5D, 0.0D) AS person_ratio")
+    found = scoring.score_all(df, features=features)
+    rows = [r for r in found.scores.collect()]
+    assert sorted(r["id"] for r in rows) == list(range(200)) and all(0 <= r[c] <= 1 for r in rows for c in ("mislabel_score", "dup_score", "ood_score"))
+    own = {r["id"]: r for r in found.features.collect()}
+    assert len(own) == 200 and own[5]["ood_score"] == max(r["ood_score"] for r in own.values())
+    assert all(own[r["id"]]["ood_score"] == r["ood_score"] for r in rows)
+    scoring.write_tables(found, str(tmp_path / "tables"))
+    assert spark.read.parquet(str(tmp_path / "tables" / "diagnostics")).count() == 200
+    assert set(own[0].asDict()) == {"id", "label", "ood_score", "ood_score_handcrafted", "zero_shot", *scoring.HANDCRAFTED}
+    plain = scoring.score_all(df)
+    assert plain.features is None and plain.scores.count() == 200
+
+
 def test_stream_equals_batch(spark, flipped, tmp_path):
     df, _ = flipped
     train, test = df.where("id % 4 <> 0"), df.where("id % 4 = 0").drop("label")
