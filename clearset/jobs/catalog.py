@@ -373,6 +373,17 @@ def removed_by_scores(spark, d):
     return cleaning.remove_by_scores(_scores(spark, d).select("id", "label"), _suspicions(spark, d), _BOUNDS)
 
 
+@query(f"--with\n{_SUSPECT} SELECT id, label FROM b WHERE id IN (SELECT id FROM s WHERE id NOT IN (SELECT id FROM f))")
+def kept_labels(spark, d):
+    clean = cleaning.remove_by_scores(_scores(spark, d).select("id", "label"), _suspicions(spark, d), _BOUNDS)
+    return cleaning.keep_labels(_rows(spark, d).select("id", "label"), clean)
+
+
+@query("SELECT id, suspicion_score, noise_type FROM (SELECT id, dup_score AS suspicion_score, 'duplicate' AS noise_type FROM s UNION ALL SELECT id, ood_score, 'ood' FROM s ) WHERE suspicion_score >= CASE noise_type WHEN 'duplicate' THEN 0.9 ELSE 0.95 END ORDER BY suspicion_score DESC, id, noise_type")
+def suspicion_list(spark, d):
+    return cleaning.suspicion_list(_suspicions(spark, d), _BOUNDS)
+
+
 @query(f"""--with
 {_SUSPECT} SELECT t AS item, count(*) AS n FROM f GROUP BY t UNION ALL SELECT 'distinct_removed', count(DISTINCT id) FROM f
 UNION ALL SELECT 'before', count(*) FROM s UNION ALL SELECT 'after', count(*) FROM s WHERE id NOT IN (SELECT id FROM f)""")

@@ -120,3 +120,13 @@ def export_counts(routes: DataFrame, listing: DataFrame) -> DataFrame:
     """(split, bucket, copied, missing) against the ids that have a file."""
     d = routes.join(listing.select("id").distinct().withColumn("__file", F.lit(True)), "id", "left")
     return d.groupBy("split", "bucket").agg(F.count("__file").alias("copied"), F.count_if(F.col("__file").isNull()).alias("missing"))
+
+
+def keep_labels(labels: DataFrame, clean: DataFrame) -> DataFrame:
+    """The labels whose id is in the clean set; ids that it repeats count once."""
+    return labels.join(clean.select("id"), "id", "left_semi")
+
+
+def suspicion_list(suspicions: DataFrame, thresholds: dict[str, float]) -> DataFrame:
+    """The flagged rows, most suspicious first; ties go to the smaller id."""
+    return flagged(suspicions, thresholds).orderBy(F.desc("suspicion_score"), "id", "noise_type")
