@@ -667,10 +667,18 @@ def filter_pipeline(spark, d):
     return scoring.filter_pipeline(rows, max_distance=1, oof=oof, bits=BITS)[0]
 
 
-@query()
+@query(f"""--with
+tr AS (SELECT * FROM b WHERE id % 5 <> 0), te AS (SELECT * FROM b WHERE id % 5 = 0),
+c AS (SELECT list(m ORDER BY i) AS vec FROM (SELECT i, avg(v) AS m FROM (SELECT unnest(vec) AS v, generate_subscripts(vec, 1) AS i FROM tr) GROUP BY i)),
+k AS (SELECT id, avg(d) FILTER (n <= 5) AS knn FROM (SELECT x.id, {_DIST} AS d, row_number() OVER (PARTITION BY x.id ORDER BY {_DIST}, y.id) AS n FROM te x JOIN tr y ON x.id <> y.id) GROUP BY id),
+g AS (SELECT x.id, {_DIST} AS d, {_LEN.replace('text', 'x.text')} AS l, knn FROM te x JOIN k ON x.id = k.id, c y),
+m AS (SELECT id, ({_avg_rank('round(d, 9)')} + {_avg_rank('l')} + {_avg_rank('round(knn, 9)')}) / 3.0 AS o FROM g),
+z AS (SELECT x.id, CAST(max(-{_HAM}) AS DOUBLE) AS u FROM h x JOIN h y ON x.id <> y.id WHERE x.id % 5 = 0 GROUP BY x.id),
+j AS (SELECT m.id, u, o FROM m JOIN z ON m.id = z.id)
+SELECT id, round((u - min(u) OVER ()) / (max(u) OVER () - min(u) OVER ()), 6) AS dup_score, round((o - min(o) OVER ()) / (max(o) OVER () - min(o) OVER ()), 6) AS ood_score FROM j""")
 def cross_set_scores(spark, d):
     rows = _rows(spark, d)
-    return scoring.cross_set_scores(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0"))
+    return _rounded(scoring.cross_set_scores(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0")), "dup_score", "ood_score")
 
 
 @query()
