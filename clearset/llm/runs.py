@@ -197,7 +197,7 @@ def runs_of_texts(texts: list[str | None], least: int = LEAST, exponent: int = E
     words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]  # bytes split at space and 9 to 13
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     number = Numbers([])
-    ids = np.fromiter((number[w] for own in words for w in own), np.int64, int(sizes.sum()))
+    ids = np.concatenate([np.zeros(0, np.int64), *(np.fromiter(map(number.__getitem__, own), np.int64, len(own)) for own in words)])
     ids += np.repeat(np.arange(len(words)), sizes) * max(len(number), 1)  # no text shares a number with another
     # a run of period q agrees with itself, q on, in max(least, exponent * q) - q items
     common = min(max(least, exponent * q) - q for q in range(1, least + 1))
@@ -234,12 +234,17 @@ def periodic_tail(doc_id: Column, text: Column) -> Column:
     """The query's own repeats: in a tenth of the documents, by crc32 of the id, the words from one
     place on repeat a period; the others stay as they are."""
     h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
-    words = words_between_spaces(text)
-    n, g = F.size(words), F.floor(h / 10)
-    a = (g % n).cast("int")
-    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
-    tail = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, a + (i - a) % p)))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(tail, " ")).otherwise(text)
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        a = (g % F.size(w)).cast("int")
+        rest, times = F.size(w) - a, (3 + g % 8).cast("int")
+        period = F.slice(w, a + 1, (1 + F.floor(rest / times)).cast("int"))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a), F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), rest)), " ")
+
+    # the array is bound once: a lambda's other expressions are evaluated for each element
+    tail = F.transform(F.array(words_between_spaces(text)), lambda w: F.when(F.size(w) > 0, repeated(w)).otherwise(text))
+    return F.when(h % 10 == 0, tail[0]).otherwise(text)
 
 
 def op11_runs(spark, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ def test_query_equals_plain_python(spark, data):
             a = g % len(w)
             p = 1 + (len(w) - a) // (3 + g % 8)
             w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
-        if len(w) > 2500:
+        if len(w) > 900:
             continue
         want = plain_runs(w)
         gone = {i for a, q, e in want for i in range(a + q, e)}
