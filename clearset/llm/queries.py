@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clearset.llm import decontamination, graph_ann, importance, lang_id, line_dedup, masked_lm, ngram_join, runs, secrets, sentencepiece_viterbi, token_files, toxicity
+from clearset.llm import decontamination, graph_ann, importance, lang_id, line_dedup, main_text, masked_lm, ngram_join, runs, secrets, sentencepiece_viterbi, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_join": ngram_join.op10_ngram_join,
     "op11_runs": runs.op11_runs,
     "op12_importance": importance.op12_importance,
+    "op13_main_text": main_text.op13_main_text,
 }
 
 SQL = {
