@@ -11,9 +11,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,13 +68,6 @@ def release(*tables: DataFrame) -> None:
         drop_path(table.sparkSession, table.scratch_path)
 
 
-def table_bytes(table: DataFrame) -> int:
-    """Size of the files of a table of ``materialize``."""
-    spark = table.sparkSession
-    p = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one (through Hadoop's file system)."""
     if not path.startswith(shared_dir(spark)):
@@ -81,15 +76,38 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-#: Rows up to which a materialised side of a join is broadcast, and bytes of its files: a
-#: wider or larger side goes through a shuffle join instead.
-BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 16 << 20
+#: Rows up to which a side of a join is broadcast, and bytes of its rows in memory: a wider or
+#: larger side goes through a shuffle join instead.
+BROADCAST_ROWS, BROADCAST_BYTES = 400_000, 32 << 20
+
+
+def cell_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in a row: eight for a number, beside the length of what varies."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = 16 + F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        size = reduce(lambda a, b: a + b, [cell_bytes(value[f.name], f.dataType) for f in kind], F.lit(16))
+    elif isinstance(kind, T.MapType):
+        size = cell_bytes(F.map_entries(value), T.ArrayType(T.StructType().add("key", kind.keyType).add("value", kind.valueType)))
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.MapType, T.ArrayType)):
+        size = 16 + F.aggregate(F.transform(value, lambda x: cell_bytes(x, kind.elementType)), F.lit(0).cast("long"), lambda a, b: a + b)
+    elif isinstance(kind, T.ArrayType):
+        size = 16 + 8 * F.size(value)
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes of them in memory) of what ``df`` holds, whatever it was made from."""
+    width = reduce(lambda a, b: a + b, [cell_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema], F.lit(16).cast("long"))
+    rows, size = df.agg(F.count("*"), F.sum(width)).first()
+    return rows, size or 0
 
 
 def checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint ``small`` as a broadcast side if its counted rows stay within ``max_rows`` and, for
-    a whole table of ``materialize``, its files within ``max_bytes``; otherwise return it as it
-    is, so that the join shuffles on its key and adaptive execution can split skewed partitions."""
-    path = getattr(small, "scratch_path", None)
-    fits = (path is None or table_bytes(small) <= max_bytes) and small.count() <= max_rows
-    return F.broadcast(small) if fits else small.hint("merge")
+    """Hint ``small`` as a broadcast side if its counted rows and their measured bytes stay within the
+    bounds; otherwise return it as it is, so that the join shuffles on its key and adaptive execution
+    can split skewed partitions.  ``small`` should read a written table: it is read for this."""
+    rows, size = measured(small)
+    return F.broadcast(small) if rows <= max_rows and size <= max_bytes else small.hint("merge")
