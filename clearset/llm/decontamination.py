@@ -9,9 +9,10 @@ with the benchmark's on 128-bit hashes, and windows that touch or overlap become
 Items of fewer words than a window are one window each, whose fingerprint is that of all words;
 documents are fingerprinted for just those lengths as well.
 
-The first pass splits each text once and gives its number of words along with the places.
-Fingerprints of the benchmark are broadcast only behind a check of their size; both joins
-otherwise shuffle on the fingerprint.
+Consecutive windows mostly choose the same hash: they are one row of the join, which only rows that
+meet a fingerprint of the benchmark leave.  Words are counted apart from it.  Fingerprints of the
+benchmark are broadcast only behind a check of their size; both joins otherwise shuffle on the
+fingerprint.
 
 Defined cases: a null text, or one without words, has no words and no hits; ties between
 equal hashes do not matter, as a fingerprint is a value; rows that repeat a doc_id with the
@@ -48,25 +49,28 @@ def gram_hashes(hashes: str, n: int) -> Column:
 
 
 def fingerprints(rows: DataFrame, text: str, keys: list[str], window: int = WINDOW, lengths: tuple[int, ...] = (), gram: int = GRAM) -> DataFrame:
-    """(keys, n_words, n, pos, fp): the fingerprint of each window of ``window`` words, or of one of
-    the short ``lengths``, by its size n and its first word; and one row with n = 0 for each text."""
-    run = window - gram + 1
-    g = F.col("__g")
+    """(keys, n, pos, run, fp): the fingerprint of the windows of ``window`` words, or of one of the
+    short ``lengths``, by their size n and the first word of the first of them.  Windows in a row
+    that choose the same hash are one row: ``run`` says how many."""
+    size = window - gram + 1
     # each array is used several times, so that the optimizer keeps it in a projection of its own
     d = rows.select(*keys, benchmark_words(F.col(text)).alias("__w"))
     d = d.select(*keys, F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"))
     d = d.select(*keys, "__h", gram_hashes("__h", gram).alias("__g"))
     none = F.array().cast("array<bigint>")
-    chosen = F.when(F.size(g) >= run, F.transform(F.sequence(F.lit(1), F.size(g) - (run - 1)), lambda i: F.array_min(F.slice(g, i, run)))).otherwise(none)
-    found = F.concat(F.array(F.lit(None).cast("long")), chosen, *[gram_hashes("__h", n) for n in lengths])
-    d = d.select(*keys, F.size("__h").alias("n_words"), F.posexplode(found).alias("__at", "fp"))
-    # the windows of each size follow each other
-    n, pos, before = F.when(F.col("__at") == 0, 0), F.when(F.col("__at") == 0, 0), F.lit(0)
-    for size in (window, *lengths):
-        upto = before + F.greatest(F.col("n_words") - (size - 1), F.lit(0))
-        n, pos = n.when(F.col("__at") <= upto, size), pos.when(F.col("__at") <= upto, F.col("__at") - before)
-        before = upto
-    return d.select(*keys, "n_words", n.alias("n"), pos.alias("pos"), "fp")
+    chosen = F.when(F.size("__g") >= size, F.transform(F.sequence(F.lit(1), F.size("__g") - (size - 1)), lambda i: F.array_min(F.slice("__g", i, size)))).otherwise(none)
+    d = d.select(*keys, "__h", chosen.alias("__c"))
+    new = F.filter(F.transform("__c", lambda _, i: i), lambda i: (i == 0) | (F.get("__c", i) != F.get("__c", i - 1)))
+    d = d.select(*keys, "__h", "__c", new.alias("__s"))
+
+    def place(n: int, i: Column, run: Column, fp: Column) -> Column:
+        return F.struct(F.lit(n).alias("n"), (i + 1).alias("pos"), run.alias("run"), fp.alias("fp"))
+
+    def short(n: int) -> Column:
+        return F.transform(gram_hashes("__h", n), lambda h, i: place(n, i, F.lit(1), h))
+
+    long = F.transform("__s", lambda i, k: place(window, i, F.coalesce(F.get("__s", k + 1), F.size("__c")) - i, F.get("__c", i)))
+    return d.select(*keys, F.explode(F.concat(long, *map(short, lengths))).alias("__f")).select(*keys, "__f.*")
 
 
 def windows(rows: DataFrame, text: str, keys: list[str], places: Column) -> DataFrame:
@@ -89,21 +93,19 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
 def counted_and_found(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(counted, found): (doc, rk, n_words) of each row of ``docs``, and (doc, rk, n_hit, items) once
     for each contaminated text; ``items``: sorted ids, as strings, of the items that have a window
-    in the text.  Both read tables in the shared folder."""
+    in the text, read from a table in the shared folder."""
     d = docs.select(F.col("doc_id").alias("doc"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
     b = items.select("item_id", "text", F.size(benchmark_words(F.col("text"))).alias("__words")).where("__words > 0")
     b = b.withColumn("__n", F.least("__words", F.lit(window)))
     # at most ``window`` numbers
     lengths = tuple(sorted(r[0] for r in b.select("__n").distinct().collect() if r[0] < window))
 
-    fps = fingerprints(b, "text", ["__n"], window, lengths).where("n = __n").select("n", "fp").distinct()
-    fps = materialize(fps.withColumn("known", F.lit(True)), "item-fingerprints")
-    marked = fingerprints(d, "text", ["doc", "rk"], window, lengths).join(checked_broadcast(fps), ["n", "fp"], "left")
-    marked = materialize(marked.where("n = 0 OR known").select("doc", "rk", "n_words", "n", "pos"), "window-places")
-    release(fps)
-
-    places = marked.where("n > 0").groupBy("doc", "rk").agg(F.collect_set(F.struct("n", "pos")).alias("places"))
+    fps = materialize(fingerprints(b, "text", ["__n"], window, lengths).where("n = __n").select("n", "fp").distinct(), "item-fingerprints")
+    marked = fingerprints(d, "text", ["doc", "rk"], window, lengths).join(checked_broadcast(fps), ["n", "fp"], "left_semi")
+    marked = marked.select("doc", "rk", "n", F.explode(F.sequence("pos", F.col("pos") + F.col("run") - 1)).alias("pos"))
+    places = marked.groupBy("doc", "rk").agg(F.collect_set(F.struct("n", "pos")).alias("places"))
     places = materialize(places, "places-of-texts")
+    release(fps)
     p = checked_broadcast(places)
     closer = d.join(p, same_row(d, p)).select(d["doc"], d["rk"], "text", "places").dropDuplicates(["doc", "rk"])
     own = windows(closer, "text", ["doc", "rk"], F.col("places"))
@@ -117,7 +119,7 @@ def counted_and_found(docs: DataFrame, items: DataFrame, window: int = WINDOW) -
     found = by_text.join(named, same_row(by_text, named)).select(by_text["doc"], by_text["rk"], "n_hit", "items")
     found = materialize(found, "contaminated")
     release(places, wanted, known, hits)
-    return marked.where("n = 0").select("doc", "rk", "n_words"), found
+    return d.select("doc", "rk", F.size(benchmark_words(F.col("text"))).alias("n_words")), found
 
 
 def covered(hits: Column) -> Column:
