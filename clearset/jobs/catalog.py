@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clearset.functions import scores as fn
 from clearset.jobs import scoring
-from clearset.operators import cleaning, dedup, diagnostics, images, metrics, mislabel, outliers, ranking, similarity, validate
+from clearset.operators import cleaning, dedup, diagnostics, hash_neighbours, images, metrics, mislabel, outliers, ranking, similarity, validate
 from clearset.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,14 +200,14 @@ def _nn(sim: str, pair: str = "h x JOIN h y ON x.id <> y.id") -> str:
 @query(f"SELECT id, nn_id, CAST(-sim AS INT) AS dist FROM ({_nn(f'-{_HAM}')})")
 def hamming_nearest(spark, d):
     b = _rows(spark, d).select("id", "hash")
-    return similarity.first_neighbour(b, b, similarity.hamming_kernel).select("id", "nn_id", (-F.col("sim")).cast("int").alias("dist"))
+    return hash_neighbours.nearest_hash(b, b, bits=BITS)
 
 
 @query(f"SELECT id, nn_id, CAST(-sim AS INT) AS dist FROM ({_nn(f'-{_HAM}', 'h x JOIN h y ON x.id <> y.id AND x.id % 5 = 0')})")
 def hamming_nearest_across_sets(spark, d):
     b = _rows(spark, d).select("id", "hash")
     test, train = b.where("id % 5 = 0"), b.where("id % 5 <> 0")
-    return similarity.first_neighbour(test, train.unionByName(test), similarity.hamming_kernel).select("id", "nn_id", (-F.col("sim")).cast("int").alias("dist"))
+    return hash_neighbours.nearest_hash(test, train.unionByName(test), bits=BITS)
 
 
 _DOT = "list_sum(list_transform(range(1, len(x.vec) + 1), lambda i: x.vec[i] * y.vec[i]))"
@@ -678,7 +678,7 @@ j AS (SELECT m.id, u, o FROM m JOIN z ON m.id = z.id)
 SELECT id, round((u - min(u) OVER ()) / (max(u) OVER () - min(u) OVER ()), 6) AS dup_score, round((o - min(o) OVER ()) / (max(o) OVER () - min(o) OVER ()), 6) AS ood_score FROM j""")
 def cross_set_scores(spark, d):
     rows = _rows(spark, d)
-    return _rounded(scoring.cross_set_scores(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0")), "dup_score", "ood_score")
+    return _rounded(scoring.cross_set_scores(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0"), bits=BITS), "dup_score", "ood_score")
 
 
 @query()

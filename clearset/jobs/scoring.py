@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.functions import scores
-from clearset.operators import cleaning, dedup, mislabel, outliers, ranking, similarity
+from clearset.operators import cleaning, dedup, hash_neighbours, mislabel, outliers, ranking, similarity
 from clearset.storage import materialize
 
 
@@ -97,12 +97,12 @@ def filter_pipeline(rows: DataFrame, modules: tuple[str, ...] = ("duplicate", "o
     return labels.join(removed.select("id").distinct(), "id", "left_anti"), cleaning.removal_report(labels, removed)
 
 
-def cross_set_scores(train: DataFrame, test: DataFrame, k: int = 5) -> DataFrame:
+def cross_set_scores(train: DataFrame, test: DataFrame, k: int = 5, bits: int = 64) -> DataFrame:
     """(id, dup_score, ood_score) of test rows (id, vec, hash, text) against the training set:
-    nearest hash among both sets, ranks of distances to the training set."""
+    nearest hash among both sets, ranks of distances to the training set.  ``bits``: of a hash."""
     both = train.select("id", "hash").unionByName(test.select("id", "hash"))
-    near = similarity.first_neighbour(test.select("id", "hash"), both, similarity.hamming_kernel)
-    d = near.withColumn("dup_raw", F.col("sim"))
+    near = hash_neighbours.nearest_hash(test.select("id", "hash"), both, bits=bits)
+    d = near.withColumn("dup_raw", -F.col("dist").cast("double"))
     ood = outliers.rank_average_score(test, k, reference=train, scaled=False).withColumnRenamed("ood_score", "ood_raw")
     d = materialize(d.join(ood, "id").select("id", "dup_raw", "ood_raw"), "cross-set")
     return ranking.min_max(ranking.min_max(d, "dup_raw", "dup_score"), "ood_raw", "ood_score").select("id", "dup_score", "ood_score")

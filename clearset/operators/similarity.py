@@ -8,7 +8,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from clearset.operators.bands import hamming, is_wide, meet, pairs_within, words_of
+from clearset.storage import materialize
 
 #: Rows of one block of the neighbour search: two blocks and their distances fit a task.
 BLOCK_ROWS = 2048
@@ -21,17 +23,6 @@ def sign_hash(vector: str, n: int = 64, above: float = 0.0) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: F.shiftleft(a, 1).bitwiseOR(b))
 
 
-def hamming(a: Column, b: Column, wide: bool = False) -> Column:
-    """Differing bits of two hashes; ``wide``: arrays of 64-bit words of one length."""
-    if wide:
-        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    return F.bit_count(a.bitwiseXOR(b))
-
-
-def is_wide(df: DataFrame, hash_col: str = "hash") -> bool:
-    return isinstance(df.schema[hash_col].dataType, T.ArrayType)
-
-
 def _band(word: Callable[[int], Column], start: int, end: int) -> Column:
     """The bits ``start`` to ``end`` (exclusive) of a hash as an array, an entry for each word
     that they touch; bit 0 is the lowest of the first word."""
@@ -49,10 +40,11 @@ def near_hashes(df: DataFrame, max_distance: int, hash_col: str = "hash", bits:
     A hash is a long, or an array of longs (``bits`` counts those of all words, arrays have one
     length).  Hashes that differ in so few bits agree on one of max_distance + 1 bands, so an
     equi-join on (band, bits of the band) finds every pair.  Each hash is one row of it,
-    however many ids share it.
+    however many ids share it; bands that very many hashes share are compared part by part.
     """
     wide = is_wide(df, hash_col)
-    distinct = df.where(F.col(hash_col).isNotNull()).select(F.col(hash_col).alias("h")).distinct()
+    kind = df.schema[hash_col].dataType.simpleString()
+    distinct = materialize(df.where(F.col(hash_col).isNotNull()).select(F.col(hash_col).alias("h")).distinct(), "distinct-hashes")
     bands = max_distance + 1
     edges = [bits * i // bands for i in range(bands + 1)]
     word = (lambda w: F.element_at("h", w + 1)) if wide else (lambda w: F.col("h"))
@@ -60,9 +52,14 @@ def near_hashes(df: DataFrame, max_distance: int, hash_col: str = "hash", bits:
     if len(keys) < bands:
         raise ValueError(f"max_distance {max_distance} leaves no bit for each band of {bits} bits")
     banded = distinct.select("h", F.explode(F.array(*keys)).alias("k")).select("h", "k.band", "k.key")
-    a, b = banded.select(F.col("h").alias("ha"), "band", "key"), banded.select(F.col("h").alias("hb"), "band", "key")
-    near = a.join(b, ["band", "key"]).where(F.col("ha") < F.col("hb")).withColumn("dist", hamming(F.col("ha"), F.col("hb"), wide).cast("int"))
-    return near.where(F.col("dist") <= max_distance).select("ha", "hb", "dist").distinct()
+
+    def light(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b = a.withColumnRenamed("h", "ha"), b.withColumnRenamed("h", "hb")
+        near = a.join(b, ["band", "key"]).where(F.col("ha") < F.col("hb")).withColumn("dist", hamming(F.col("ha"), F.col("hb"), wide).cast("int"))
+        return near.where(F.col("dist") <= max_distance).select("ha", "hb", "dist")
+
+    met = meet(banded, banded.select("h", "band", "key"), light, pairs_within(max_distance), f"ha {kind}, hb {kind}, dist int", triangle=True)
+    return met.select(F.least("ha", "hb").alias("ha"), F.greatest("ha", "hb").alias("hb"), "dist").distinct()
 
 
 def hamming_pairs(df: DataFrame, max_distance: int, id_col: str = "id", hash_col: str = "hash", bits: int = 64) -> DataFrame:
@@ -98,18 +95,8 @@ def cosine(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
     return x @ y.T
 
 
-def _words(hashes: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """(known, words) of hashes that are longs or arrays of longs: one row a hash, zeros where null."""
-    known = np.array([h is not None and not (np.isscalar(h) and pd.isna(h)) for h in hashes], bool)
-    live = [np.atleast_1d(np.asarray(h, dtype=np.int64)) for h in hashes[known]]
-    words = np.zeros((len(hashes), len(live[0]) if live else 1), np.int64)
-    if live:
-        words[known] = np.stack(live)
-    return known, words.view(np.uint64)
-
-
 def _hamming_matrix(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
-    (known_a, a), (known_b, b) = _words(q["hash"]), _words(c["hash"])
+    (known_a, a), (known_b, b) = words_of(q["hash"]), words_of(c["hash"])
     d = np.zeros((len(a), len(b)))
     for w in range(min(a.shape[1], b.shape[1])):
         d += np.bitwise_count(a[:, w][:, None] ^ b[:, w][None, :])
@@ -178,9 +165,13 @@ def mean_neighbour_distance(queries: DataFrame, candidates: DataFrame, k: int, i
 
 def dup_scores(df: DataFrame, bits: int = 64) -> DataFrame:
     """(id, nn_id, dup_score): fused nearest neighbour of (id, hash, vec), or by hash alone
-    without vectors; clipped to 0 .. 1, and 0 without a hash."""
-    kernel = fused(bits) if "vec" in df.columns else (lambda q, c: 1 - _hamming_matrix(q, c) / bits)
-    found = first_neighbour(df, df, kernel)
+    without vectors (see ``hash_neighbours``); clipped to 0 .. 1, and 0 without a hash."""
+    if "vec" in df.columns:
+        found = first_neighbour(df, df, fused(bits))
+    else:
+        from clearset.operators.hash_neighbours import nearest_hash
+
+        found = nearest_hash(df, df, bits=bits).withColumn("sim", 1 - F.col("dist") / bits)
     return found.select("id", "nn_id", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce("sim", F.lit(0.0)))).alias("dup_score"))
 
 
