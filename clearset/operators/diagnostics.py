@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.operators import ranking
@@ -12,26 +12,35 @@ from clearset.operators import ranking
 QUANTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95, "q99": 0.99}
 
 
-def _aggregates(c: Column) -> list[Column]:
-    return [F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), *[F.percentile(c, F.lit(p)).alias(k) for k, p in QUANTILES.items()]]
+def _with_quantiles(stats: DataFrame, long: DataFrame, shares: dict[str, float], group: str) -> DataFrame:
+    """``stats`` (group, n and more) with the quantiles of the values ``long`` (group, x)."""
+    found = ranking.group_quantiles(long, shares, group).withColumnRenamed(group, "__group")
+    return stats.join(found, F.col(group).eqNullSafe(F.col("__group")), "left").drop("__group")
+
+
+def _by_axis(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")).select("s.*")
 
 
 def summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(axis, n, min, max, mean, std, quantiles) of each column, all in one pass."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")).select("s.*")
-    return long.groupBy("axis").agg(*_aggregates(F.col("x")))
+    """(axis, n, min, max, mean, std, quantiles) of each column."""
+    long, c = _by_axis(df, cols), F.col("x")
+    stats = long.groupBy("axis").agg(F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
+    return _with_quantiles(stats, long, QUANTILES, "axis")
 
 
 def describe_by(df: DataFrame, group: str, col: str) -> DataFrame:
     """count, mean, std, min, quartiles and max of ``col`` for each group."""
     c = F.col(col)
-    return df.groupBy(group).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), *[F.percentile(c, F.lit(p)).alias(k) for k, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))], F.max(c).alias("max"))
+    stats = df.groupBy(group).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"), F.max(c).alias("max"))
+    out = _with_quantiles(stats, df.select(group, F.col(col).alias("x")), {"q25": 0.25, "q50": 0.5, "q75": 0.75}, group)
+    return out.select(group, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def flatness(df: DataFrame, cols: list[str], least_std: float = 1e-3, tie_share: float = 0.1) -> DataFrame:
     """(axis, flat, max_count, tied): a column without spread, or whose largest value takes
     more than a tenth of the rows."""
-    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("axis"), F.col(c).cast("double").alias("x")) for c in cols])).alias("s")).select("s.*")
+    long = _by_axis(df, cols)
     counts = long.groupBy("axis", "x").agg(F.count("*").alias("n"))
     top = counts.groupBy("axis").agg(F.max(F.struct("x", "n")).alias("top"))
     spread = long.groupBy("axis").agg(F.stddev_samp("x").alias("std"), F.count("*").alias("rows"))
@@ -65,9 +74,8 @@ def pearson(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def spearman(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """(feature, rho): Pearson correlation of average ranks with those of ``target``."""
-    d = df.select(*features, target)
-    for c in [*features, target]:
-        d = ranking.average_rank(d, c, f"__r_{c}")
+    cols = [*features, target]
+    d = ranking.with_average_ranks(df.select(*cols), {c: f"__r_{c}" for c in cols})
     row = d.agg(*[F.corr(f"__r_{f}", f"__r_{target}").alias(f) for f in features])
     return row.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("rho")) for f in features])).alias("p")).select("p.*")
 

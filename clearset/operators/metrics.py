@@ -12,7 +12,7 @@ def average_precision(df: DataFrame, score: str, truth: str) -> DataFrame:
     """One row ``ap``: sum of recall steps times precision over falling distinct scores.
     Null where nothing is positive."""
     by_score = df.groupBy((-F.col(score)).alias("s")).agg(F.sum(F.col(truth).cast("long")).alias("tp"), F.count("*").alias("n"))
-    d = _ranged(by_score, ["s"], "n").withColumnRenamed("__before", "seen")
+    d = _ranged(by_score, ["s"], "n").withColumnRenamed("__before", "seen").drop("__total")
     d = _ranged(d, ["s"], "tp").withColumnRenamed("__before", "hits")
     precision = (F.col("hits") + F.col("tp")) / (F.col("seen") + F.col("n"))
     total = F.sum("tp")

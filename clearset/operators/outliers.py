@@ -29,35 +29,31 @@ def rank_average_score(df: DataFrame, k: int = 5, neighbours: bool = True, refer
     d = centroid_distance(df, reference).join(df.select("id", scores.text_length(F.col("text")).alias("text_length")), "id")
     signals = ["centroid_dist", "text_length"]
     if neighbours:
-        d = d.join(similarity.mean_neighbour_distance(df, reference if reference is not None else df, k), "id")
+        near = similarity.mean_neighbour_distance(df, reference if reference is not None else df, k)
+        d = d.join(near, "id", "left").fillna(0.0, ["knn_dist"])
         signals.append("knn_dist")
-    d = materialize(d, "ood-signals")
-    for s in signals:
-        d = ranking.average_rank(d, s, f"r_{s}")
+    d = ranking.average_ranks(materialize(d, "ood-signals"), signals)
     raw = reduce(lambda a, b: a + b, [F.col(f"r_{s}") for s in signals]) / len(signals)
     d = d.select("id", raw.alias("raw"))
     return ranking.min_max(d, "raw", "ood_score", "epsilon").select("id", "ood_score") if scaled else d.withColumnRenamed("raw", "ood_score")
 
 
-def _ranked(df: DataFrame, cols: list[str]) -> DataFrame:
-    for c in cols:
-        df = ranking.ordinal_rank(df, c, f"r_{c}")
-    return df
-
-
 def handcrafted_score(features: DataFrame, knn: DataFrame | None = None) -> DataFrame:
     """(id, ood_score) of a feature table (grid_regularity, dark_blue_gray, skin_ratio,
     vegetation_ratio, watermark_ratio, ocr_text_length), optionally mixed with the rank of the
-    neighbour distances ``knn`` (id, knn_dist)."""
+    neighbour distances ``knn`` (id, knn_dist); a row without a neighbour has distance 0."""
     names = ["grid_regularity", "dark_blue_gray", "skin_ratio", "vegetation_ratio", "watermark_ratio", "ocr_text_length"]
-    d = _ranked(features.select("id", *names), names)
+    d = features.select("id", *names)
+    if knn is not None:
+        d = d.join(knn, "id", "left").fillna(0.0, ["knn_dist"])
+        names = [*names, "knn_dist"]
+    d = ranking.ordinal_ranks(d, names)
     panel = 0.5 * F.col("r_grid_regularity") + F.col("r_dark_blue_gray") - F.col("r_skin_ratio") - F.col("r_vegetation_ratio")
     d = ranking.ordinal_rank(d.withColumn("panel", panel), "panel", "r_panel")
     marks = [F.col("r_watermark_ratio"), F.col("r_ocr_text_length")]
     score = F.greatest(1 - F.col("r_panel"), *marks)
     if knn is not None:
-        d = ranking.ordinal_rank(d.join(knn, "id"), "knn_dist", "r_knn")
-        score = F.greatest(0.5 * score + 0.5 * F.col("r_knn"), *marks)
+        score = F.greatest(0.5 * score + 0.5 * F.col("r_knn_dist"), *marks)
     return d.select("id", score.alias("ood_score"))
 
 
@@ -65,13 +61,11 @@ def fused_score(df: DataFrame) -> DataFrame:
     """(id, ood_score) of (id, handcrafted, ocr_text_length and, if there, zero_shot and
     person_ratio): 0.7 and 0.3 of the ranks of zero-shot and hand-crafted score, protected by
     the ranks of text length and person ratio; without zero-shot the hand-crafted score."""
-    if "zero_shot" in df.columns:
-        d = _ranked(df, ["zero_shot", "handcrafted", "ocr_text_length"])
-        score = F.greatest(0.7 * F.col("r_zero_shot") + 0.3 * F.col("r_handcrafted"), F.col("r_ocr_text_length"))
-    else:
-        d, score = df, F.col("handcrafted")
+    fused = "zero_shot" in df.columns
+    ranked = (["zero_shot", "handcrafted", "ocr_text_length"] if fused else []) + (["person_ratio"] if "person_ratio" in df.columns else [])
+    d = ranking.ordinal_ranks(df, [*ranked, *([] if fused else ["handcrafted"])]) if ranked else df
+    score = F.greatest(0.7 * F.col("r_zero_shot") + 0.3 * F.col("r_handcrafted"), F.col("r_ocr_text_length")) if fused else F.col("handcrafted")
     if "person_ratio" in df.columns:
-        d = _ranked(d, ["person_ratio"])
         score = F.greatest(score, F.col("r_person_ratio"))
     return d.select("id", score.alias("ood_score"))
 
