@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clearset.functions import scores as fn
 from clearset.jobs import scoring
-from clearset.operators import cleaning, dedup, diagnostics, hash_neighbours, images, metrics, mislabel, outliers, ranking, similarity, validate
+from clearset.operators import cleaning, dedup, diagnostics, hash_neighbours, images, metrics, mislabel, outliers, ranking, similarity, sketches, validate
 from clearset.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -497,6 +497,14 @@ def flatness(spark, d):
     return diagnostics.flatness(_scores(spark, d), AXES)
 
 
+# up to K rows sketches are exact, as at the scale of the comparison with SQL
+@query(f"--with\n{_LONG} SELECT axis, count(x) AS n, quantile_disc(x, 0.05) AS q05, quantile_disc(x, 0.5) AS q50, quantile_disc(x, 0.95) AS q95 FROM l GROUP BY axis")
+def sketched_quantiles(spark, d):
+    s = _scores(spark, d)
+    halves = [sketches.sketches(s.where(F.col("label") == i), AXES) for i in (0, 1)]
+    return sketches.quantiles(sketches.merged(diagnostics.union_all(halves)), {"q05": 0.05, "q50": 0.5, "q95": 0.95})
+
+
 @query("SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS l_extendedprice, round(quantile_cont(l_quantity, 0.9), 6) AS l_quantity FROM lineitem")
 def price_quantiles(spark, d):
     t = spark.read.parquet(f"{d}/lineitem.parquet")
