@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.functions import scores
-from clearset.operators import ranking, similarity
+from clearset.operators import ranking, similarity, vector_neighbours
 from clearset.storage import materialize
 
 
@@ -23,13 +23,14 @@ def centroid_distance(df: DataFrame, reference: DataFrame | None = None, out: st
     return df.join(F.broadcast(center), how="cross").select("id", scores.euclidean(F.col("vec"), F.col("__c")).alias(out))
 
 
-def rank_average_score(df: DataFrame, k: int = 5, neighbours: bool = True, reference: DataFrame | None = None, scaled: bool = True) -> DataFrame:
+def rank_average_score(df: DataFrame, k: int = 5, neighbours: bool = True, reference: DataFrame | None = None, scaled: bool = True, approximate: bool = False) -> DataFrame:
     """(id, ood_score) of (id, vec, text): the mean of the average ranks of centroid distance,
-    mean distance to ``k`` neighbours and stripped text length, scaled to 0 .. 1."""
+    mean distance to ``k`` neighbours and stripped text length, scaled to 0 .. 1.  A row without
+    neighbours has distance 0; ``approximate``: neighbours are those of random projections."""
     d = centroid_distance(df, reference).join(df.select("id", scores.text_length(F.col("text")).alias("text_length")), "id")
     signals = ["centroid_dist", "text_length"]
     if neighbours:
-        near = similarity.mean_neighbour_distance(df, reference if reference is not None else df, k)
+        near = similarity.mean_neighbour_distance(df, reference if reference is not None else df, k, approximate=approximate)
         d = d.join(near, "id", "left").fillna(0.0, ["knn_dist"])
         signals.append("knn_dist")
     d = ranking.average_ranks(materialize(d, "ood-signals"), signals)
@@ -70,9 +71,11 @@ def fused_score(df: DataFrame) -> DataFrame:
     return d.select("id", score.alias("ood_score"))
 
 
-def local_outlier_factor(df: DataFrame, k: int = 20) -> DataFrame:
-    """(id, lof) of (id, vec) from the graph of ``k`` nearest neighbours."""
-    g = materialize(similarity.nearest(df, df, k, similarity.euclidean).select("id", "nn_id", (-F.col("sim")).alias("d")), "lof-graph")
+def local_outlier_factor(df: DataFrame, k: int = 20, approximate: bool = False) -> DataFrame:
+    """(id, lof) of (id, vec) from the graph of ``k`` nearest neighbours; ``approximate``: found by
+    random projections.  Equal vectors are searched as one (see ``vector_neighbours``)."""
+    near = vector_neighbours.nearest(df, df, k, similarity.euclidean, vector_neighbours.projected if approximate else vector_neighbours.exact)
+    g = materialize(near.select("id", "nn_id", (-F.col("sim")).alias("d")), "lof-graph")
     kdist = g.groupBy("id").agg(F.max("d").alias("kdist"))
     reach = g.join(kdist.withColumnRenamed("id", "nn_id"), "nn_id").select("id", "nn_id", F.greatest("d", "kdist").alias("reach"))
     density = materialize(reach.groupBy("id").agg((1 / (F.avg("reach") + 1e-10)).alias("lrd")), "lof-density")

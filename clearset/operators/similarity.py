@@ -82,9 +82,15 @@ def _matrix(pdf: pd.DataFrame, col: str) -> np.ndarray:
 
 
 def euclidean(q: pd.DataFrame, c: pd.DataFrame) -> np.ndarray:
-    """Negative distances: larger is nearer for every kernel."""
+    """Negative distances: larger is nearer for every kernel.  Distances that the product leaves to
+    rounding are taken from the differences, so that equal vectors are at 0."""
     x, y = _matrix(q, "vec"), _matrix(c, "vec")
-    sq = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2 * x @ y.T
+    nx, ny = (x * x).sum(1)[:, None], (y * y).sum(1)[None, :]
+    sq = nx + ny - 2 * x @ y.T
+    i, j = np.nonzero(sq <= 1e-9 * (nx + ny))
+    for at in range(0, len(i), 1 << 16):
+        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        sq[a, b] = ((x[a] - y[b]) ** 2).sum(1)
     return -np.sqrt(np.maximum(sq, 0))
 
 
@@ -119,32 +125,50 @@ def fused(bits: int = 64, hash_weight: float = 0.6) -> Kernel:
     return kernel
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int, kernel: Kernel, id_col: str = "id", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def _top(a: pd.DataFrame, b: pd.DataFrame, s: np.ndarray, k: int) -> pd.DataFrame:
+    """(id, nn_id, sim): the ``k`` best columns of each row; ``b`` is in the order of its ids."""
+    top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+    s = np.take_along_axis(s, top, 1)
+    ok = s > -np.inf
+    return pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), ok.sum(1)), "nn_id": b["id"].to_numpy()[top[ok]], "sim": s[ok]})
+
+
+def best_of_blocks(a: pd.DataFrame, b: pd.DataFrame, k: int, kernel: Kernel, exclude_self: bool = True, both: bool = False) -> pd.DataFrame:
+    """(id, nn_id, sim) of the ``k`` best rows of ``b`` for each row of ``a``, ties by the smaller id;
+    ``both``: also of the best rows of ``a`` for each row of ``b``, from the same comparison."""
+    if not len(a) or not len(b):
+        return pd.DataFrame({"id": [], "nn_id": [], "sim": []})
+    a, b = a.sort_values("id", ignore_index=True), b.sort_values("id", ignore_index=True)
+    s = kernel(a, b)
+    if exclude_self:
+        s[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = -np.inf
+    found = _top(a, b, s, k)
+    return pd.concat([found, _top(b, a, s.T, k)]) if both else found
+
+
+def nearest(queries: DataFrame, candidates: DataFrame, k: int, kernel: Kernel, id_col: str = "id", block_rows: int = BLOCK_ROWS, exclude_self: bool = True) -> DataFrame:
     """(id, nn_id, sim, place): the exact ``k`` best candidates of each query but itself.
 
     Both sides are cut into blocks of bounded size; every block of queries meets every block
     of candidates in a task of its own, which keeps its ``k`` best, and the blocks' winners
-    are merged by query.  Ties go to the smaller id.  This compares all queries with all
-    candidates, which is what the exact answer asks for.
+    are merged by query.  A table that is searched in itself meets each unordered pair of blocks
+    once, which serves the rows of both.  Ties go to the smaller id.  This compares all queries with
+    all candidates, which is what the exact answer asks for.
     """
     payload = [c for c in ("vec", "hash") if c in queries.columns]
+    triangle = queries is candidates
     q = queries.select(F.col(id_col).alias("id"), *payload)
     c = candidates.select(F.col(id_col).alias("id"), *[F.col(x).alias(x) for x in payload])  # columns of its own in a self-join
-    nq, nc = (max(1, -(-d.count() // block_rows)) for d in (q, c))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(nc - 1))))
-    c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+    nq, nc = (max(1, -(-d.count() // block_rows)) for d in (q, c)) if not triangle else [max(1, -(-q.count() // block_rows))] * 2
+    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int"))
+    q = q.withColumn("cb", F.explode(F.sequence(F.col("qb") if triangle else F.lit(0), F.lit(nc - 1))))
+    c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(nc)).cast("int"))
+    c = c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("cb") if triangle else F.lit(nq - 1))))
     id_type = queries.schema[id_col].dataType.simpleString()
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "nn_id": [], "sim": []})
-        b = b.sort_values("id", ignore_index=True)
-        s = kernel(a, b)
-        s[a["id"].to_numpy()[:, None] == b["id"].to_numpy()[None, :]] = -np.inf
-        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        s = np.take_along_axis(s, top, 1)
-        ok = s > -np.inf
-        return pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), ok.sum(1)), "nn_id": b["id"].to_numpy()[top[ok]], "sim": s[ok]})
+        other = triangle and len(a) > 0 and len(b) > 0 and a["qb"].iloc[0] != b["cb"].iloc[0]
+        return best_of_blocks(a, b, k, kernel, exclude_self, other)
 
     found = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(best, f"id {id_type}, nn_id {id_type}, sim double")
     order = Window.partitionBy("id").orderBy(F.desc("sim"), "nn_id")
@@ -158,9 +182,13 @@ def first_neighbour(queries: DataFrame, candidates: DataFrame, kernel: Kernel, f
     return d if floor is None else d.withColumn("sim", F.greatest(F.coalesce("sim", F.lit(floor)), F.lit(floor)))
 
 
-def mean_neighbour_distance(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id") -> DataFrame:
-    """(id, knn_dist): mean Euclidean distance to the ``k`` nearest others."""
-    return nearest(queries, candidates, k, euclidean, id_col).groupBy("id").agg(F.avg(-F.col("sim")).alias("knn_dist"))
+def mean_neighbour_distance(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id", approximate: bool = False) -> DataFrame:
+    """(id, knn_dist): mean Euclidean distance to the ``k`` nearest others; ``approximate``: among those
+    that random projections bring together (see ``vector_neighbours``)."""
+    from clearset.operators import vector_neighbours as vn
+
+    found = vn.nearest(queries, candidates, k, euclidean, vn.projected, id_col) if approximate else nearest(queries, candidates, k, euclidean, id_col)
+    return found.groupBy("id").agg(F.avg(-F.col("sim")).alias("knn_dist"))
 
 
 def dup_scores(df: DataFrame, bits: int = 64) -> DataFrame:
