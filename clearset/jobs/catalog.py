@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clearset import storage
 from clearset.functions import scores as fn
 from clearset.jobs import scoring
 from clearset.operators import cleaning, dedup, diagnostics, hash_neighbours, images, metrics, mislabel, outliers, ranking, similarity, sketches, validate
@@ -407,6 +408,18 @@ def export_counts(spark, d):
     return cleaning.export_counts(cleaning.export_routes(s), s.where("id % 7 <> 0"))
 
 
+@query("""--with
+r AS (SELECT id, label, text, [NULL, 'ood', 'dup', 'mislabel', 'strange'][id % 5 + 1] AS w FROM b)
+SELECT CASE WHEN w IS NULL THEN 'train' ELSE 'excluded' END AS split, CASE WHEN w IS NULL THEN CASE WHEN label = 0 THEN 'clean' ELSE 'dusty' END WHEN w = 'strange' THEN 'mislabel' ELSE w END AS bucket,
+count(text) FILTER (id % 7 <> 0) AS copied, count(*) FILTER (id % 7 = 0 OR text IS NULL) AS missing FROM r GROUP BY 1, 2""")
+def exported_files(spark, d):
+    reason = F.element_at(F.array(F.lit(None).cast("string"), *[F.lit(x) for x in ("ood", "dup", "mislabel", "strange")]), (F.col("id") % 5 + 1).cast("int"))
+    b = _rows(spark, d).select(F.col("id").cast("string").alias("id"), F.col("id").alias("number"), "label", "text", reason.alias("exclude_reason"))
+    content = F.col("text").cast("binary")
+    files = b.where("number % 7 <> 0 AND text IS NOT NULL").select("id", F.octet_length(content).cast("long").alias("length"), content.alias("content"))
+    return tables.export_files(cleaning.export_routes(b), files, storage.new_path(spark, "exported"), file_bytes=1 << 20)
+
+
 @query("SELECT id, label, CAST(1 AS DOUBLE) AS sample_weight FROM s WHERE id % 4 <> 0")
 def training_pool(spark, d):
     s = _scores(spark, d).withColumn("exclude_reason", F.when(F.col("id") % 4 == 0, "ood"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearset.functions import scores
-from clearset.operators import cleaning, dedup, hash_neighbours, mislabel, outliers, ranking, similarity
+from clearset.operators import cleaning, dedup, hash_neighbours, images, mislabel, outliers, ranking, similarity
 from clearset.storage import materialize
 
 
@@ -30,6 +30,20 @@ def off_topic(features: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     return fused.join(hand.withColumnRenamed("handcrafted", "ood_score_handcrafted"), "id")
 
 
+def image_rows(labels: DataFrame, files: DataFrame, embed: Callable[[pd.DataFrame], np.ndarray] = images.color_grid, hash_side: int = 8) -> DataFrame:
+    """(id, label, decoded, vec, hash and the image features) of every labelled id, whether its file of
+    ``files`` (see ``sources.tables.read_images`` with keep_invalid) can be read or not.
+
+    What cannot be read has a default for each signal: no vector, a null hash, features 0; decoded is
+    false for a file that cannot be decoded and for an id without a file.
+    """
+    good = files.where("decoded")
+    found = images.image_features(good, hash_side).join(images.embed(good, embed), "id")
+    d = labels.select("id", "label").join(found.withColumn("decoded", F.lit(True)), "id", "left")
+    d = d.fillna(0.0, [c for c in images.FEATURES if c != "hash"]).fillna(False, ["decoded"])
+    return materialize(d, "image-rows")
+
+
 class ScoreTables(NamedTuple):
     scores: DataFrame
     diagnostics: DataFrame
@@ -44,6 +58,8 @@ def score_all(rows: DataFrame, k: int = 5, features: DataFrame | None = None) ->
     with another label are suspected at least a little.  With ``features`` (see ``off_topic``)
     the off-topic score is the fused one, a person_ratio above its threshold excludes a row
     as well, and the third table holds the features; without, the mean of ranks takes its place.
+    A row without a vector stays: its duplicate score is 0, its off-topic score that of its features
+    (0.5 without any), its mislabel score 0.5, and no probability is given.
     """
     dup = materialize(similarity.dup_scores(rows.select("id", "hash", "vec")), "dup-scores")
     if features is None:
@@ -58,10 +74,10 @@ def score_all(rows: DataFrame, k: int = 5, features: DataFrame | None = None) ->
         signals.append("person_ratio")
     excluded = cleaning.hard_mask(d.select("id", *signals))
     d = materialize(d.join(excluded, "id").withColumn("weight", scores.soft_weight(F.col("ood_score"))), "score-input")
-    found = mislabel.mislabel_scores(d, excluded="excluded", weight="weight")
+    found = mislabel.mislabel_scores(d.where("vec IS NOT NULL"), excluded="excluded", weight="weight")
     cut = ranking.quantiles(d, {"dup_score": 0.95}).first()[0]
     conflict = similarity.label_conflicts(dup, d.select("id", "label"), cut).withColumn("conflict", F.lit(True))
-    out = d.select("id", "label", "dup_score", "ood_score").join(found, "id").join(conflict, "id", "left")
+    out = d.select("id", "label", "dup_score", "ood_score").join(found, "id", "left").fillna(0.5, ["mislabel_score"]).join(conflict, "id", "left")
     out = out.withColumn("mislabel_score", scores.boosted(F.col("mislabel_score"), F.coalesce("conflict", F.lit(False))))
     out = materialize(out, "scores")
     table = None

@@ -26,7 +26,7 @@ def centroid_distance(df: DataFrame, reference: DataFrame | None = None, out: st
 def rank_average_score(df: DataFrame, k: int = 5, neighbours: bool = True, reference: DataFrame | None = None, scaled: bool = True, approximate: bool = False) -> DataFrame:
     """(id, ood_score) of (id, vec, text): the mean of the average ranks of centroid distance,
     mean distance to ``k`` neighbours and stripped text length, scaled to 0 .. 1.  A row without
-    neighbours has distance 0; ``approximate``: neighbours are those of random projections."""
+    neighbours has distance 0, one without a vector the score 0.5; ``approximate``: neighbours are those of random projections."""
     d = centroid_distance(df, reference).join(df.select("id", scores.text_length(F.col("text")).alias("text_length")), "id")
     signals = ["centroid_dist", "text_length"]
     if neighbours:
@@ -36,7 +36,9 @@ def rank_average_score(df: DataFrame, k: int = 5, neighbours: bool = True, refer
     d = ranking.average_ranks(materialize(d, "ood-signals"), signals)
     raw = reduce(lambda a, b: a + b, [F.col(f"r_{s}") for s in signals]) / len(signals)
     d = d.select("id", raw.alias("raw"))
-    return ranking.min_max(d, "raw", "ood_score", "epsilon").select("id", "ood_score") if scaled else d.withColumnRenamed("raw", "ood_score")
+    if not scaled:
+        return d.withColumnRenamed("raw", "ood_score")
+    return ranking.min_max(d, "raw", "ood_score", "epsilon").select("id", F.coalesce("ood_score", F.lit(0.5)).alias("ood_score"))
 
 
 def handcrafted_score(features: DataFrame, knn: DataFrame | None = None) -> DataFrame:

@@ -187,15 +187,18 @@ def mean_neighbour_distance(queries: DataFrame, candidates: DataFrame, k: int, i
     that random projections bring together (see ``vector_neighbours``)."""
     from clearset.operators import vector_neighbours as vn
 
-    found = vn.nearest(queries, candidates, k, euclidean, vn.projected, id_col) if approximate else nearest(queries, candidates, k, euclidean, id_col)
+    q = queries.where("vec IS NOT NULL")
+    c = q if candidates is queries else candidates.where("vec IS NOT NULL")
+    found = vn.nearest(q, c, k, euclidean, vn.projected, id_col) if approximate else nearest(q, c, k, euclidean, id_col)
     return found.groupBy("id").agg(F.avg(-F.col("sim")).alias("knn_dist"))
 
 
 def dup_scores(df: DataFrame, bits: int = 64) -> DataFrame:
     """(id, nn_id, dup_score): fused nearest neighbour of (id, hash, vec), or by hash alone
-    without vectors (see ``hash_neighbours``); clipped to 0 .. 1, and 0 without a hash."""
+    without vectors (see ``hash_neighbours``); clipped to 0 .. 1, and 0 without a hash or vector."""
     if "vec" in df.columns:
-        found = first_neighbour(df, df, fused(bits))
+        seen = df.where("vec IS NOT NULL")
+        found = df.select("id").join(first_neighbour(seen, seen, fused(bits)), "id", "left")
     else:
         from clearset.operators.hash_neighbours import nearest_hash
 
@@ -213,8 +216,8 @@ def label_conflicts(neighbours: DataFrame, labels: DataFrame, threshold: float)
 
 
 def zero_shot(df: DataFrame, prompts: DataFrame, scale: float = 1.0) -> DataFrame:
-    """(id, zero_shot): 1 minus the softmax mass of the positive prompts.  ``prompts``
-    (prompt, positive, vec) is a short list of fixed size."""
+    """(id, zero_shot): 1 minus the softmax mass of the positive prompts, 0.5 without a vector.
+    ``prompts`` (prompt, positive, vec) is a short list of fixed size."""
     rows = prompts.orderBy("prompt").collect()
     def dot(v: list[float]) -> Column:
         return F.aggregate(F.zip_with("vec", F.array(*[F.lit(float(x)) for x in v]), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
@@ -222,4 +225,4 @@ def zero_shot(df: DataFrame, prompts: DataFrame, scale: float = 1.0) -> DataFram
     e = [(bool(r["positive"]), F.exp(scale * dot(r["vec"]))) for r in rows]
     total = sum((x for _, x in e[1:]), e[0][1])
     good = sum((x for p, x in e if p), F.lit(0.0))
-    return df.select("id", (1 - good / total).alias("zero_shot"))
+    return df.select("id", F.when(F.col("vec").isNull(), F.lit(0.5)).otherwise(1 - good / total).alias("zero_shot"))

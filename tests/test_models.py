@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clearset.jobs import scoring
-from clearset.operators import mislabel
+from clearset.operators import mislabel, similarity
 from clearset.sources import tables
 from clearset.streaming.scores import score_stream
 
@@ -90,3 +91,44 @@ def test_readers(spark, tmp_path):
     assert {r["model"] for r in tables.read_predictions(spark, str(tmp_path / "*.csv")).collect()} == {"x", "y"}
     (tmp_path / "l.csv").write_text("id,label\ntrain_0,1\n")
     assert tables.read_labels(spark, str(tmp_path / "l.csv")).first()["label"] == 1
+
+
+def test_unreadable_images_get_the_default_of_each_signal(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    for i in range(30):
+        png(tmp_path / f"train_{i:02}.png", rng.integers(0, 255, (40, 40, 3)).astype(np.uint8) // (1 + i % 2))
+    (tmp_path / "train_30.png").write_bytes(b"not an image")
+    labels = spark.createDataFrame([(f"train_{i:02}", i % 2) for i in range(32)], "id string, label int")  # the last one has no file
+    files = tables.read_images(spark, str(tmp_path / "*.png"), keep_invalid=True)
+    assert {r["id"] for r in files.where("NOT decoded").collect()} == {"train_30"}
+    rows = scoring.image_rows(labels, files)
+    bad = {r["id"]: r for r in rows.where("NOT decoded").collect()}
+    assert set(bad) == {"train_30", "train_31"}
+    assert all(r["vec"] is None and r["hash"] is None and r["skin_ratio"] == 0.0 and r["brightness"] == 0.0 for r in bad.values())
+    vectors = rows.select("id", F.col("vec").cast("array<double>").alias("vec"))
+    prompts = vectors.where("id < 'train_03'").select(F.col("id").alias("prompt"), (F.col("id") == "train_00").alias("positive"), "vec")
+    features = rows.drop("vec").join(similarity.zero_shot(vectors, prompts), "id").withColumn("watermark_ratio", F.lit(0.0)).withColumn("ocr_text_length", F.lit(0))
+    assert {r["zero_shot"] for r in features.where("NOT decoded").collect()} == {0.5}
+    given = rows.select("id", "label", "hash", F.col("vec").cast("array<double>").alias("vec"), F.lit("").alias("text"))
+    for found in (scoring.score_all(given, features=features), scoring.score_all(given)):
+        got = {r["id"]: r for r in found.scores.collect()}
+        assert len(got) == 32 and all(None not in tuple(r) for r in got.values())
+        assert all((got[i]["dup_score"], got[i]["mislabel_score"]) == (0.0, 0.5) for i in bad)
+    assert all(got[i]["ood_score"] == 0.5 for i in bad)
+
+
+def test_exported_files_are_bounded_and_counted(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for i in range(60):
+        (source / f"img_{i}.jpg").write_bytes(bytes([i]) * 1000)
+    (source / "stray.jpg").write_bytes(b"x")
+    routes = spark.createDataFrame([(f"img_{i}", "train", "clean") if i % 6 else (f"img_{i}", "excluded", "dup") for i in range(66)], "id string, split string, bucket string")
+    files = tables.read_files(spark, str(source))
+    report = tables.export_files(routes, files, str(tmp_path / "out"), file_bytes=5000)
+    assert {(r["split"], r["bucket"], r["copied"], r["missing"]) for r in report.collect()} == {("train", "clean", 50, 5), ("excluded", "dup", 10, 1)}
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert all(r["content"] == bytes([int(r["id"][4:])]) * 1000 for r in written.collect()) and written.count() == 60
+    sizes = written.groupBy(F.input_file_name()).agg(F.sum("length").alias("n")).collect()
+    assert max(r["n"] for r in sizes) <= 4 * 5000 and len(sizes) >= 6
+    assert tables.export_files(routes.where("id = 'img_65'"), files, str(tmp_path / "none")).collect()[0]["missing"] == 1
