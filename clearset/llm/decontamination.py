@@ -18,7 +18,8 @@ Defined cases: a null text, or one without words, has no words and no hits; ties
 equal hashes do not matter, as a fingerprint is a value; rows that repeat a doc_id with the
 same text share one result, rows that repeat it with another text have their own, and so have
 rows without an id; items that repeat an id count once; an empty table gives an empty result,
-an empty benchmark no hits; extra columns are ignored by ``scan`` and kept by ``decontaminate``.
+an empty benchmark no hits; extra columns are ignored by ``scan`` and kept by ``decontaminate``,
+where columns named n_words, n_hit or items give way to its own.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ index and multiplies it with the matrix in numpy.  Whole texts are used.
 Defined cases: a text that is null or has no letter gets ``und`` with score 0; very long
 texts are cut into pieces whose log-probabilities are added; without any labelled row
 every text is ``und``; rows that repeat a doc_id are scored each on its own; an empty
-table gives an empty result; extra columns stay.
+table gives an empty result; extra columns stay, but columns named
+lang_pred or lang_score give way to the operator's own.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ Defined cases: a null or empty text is one empty line; lines whose key is shorte
 ``min_chars`` are never dropped; a document is a doc_id: rows that repeat one count once for
 the frequency of a line, whatever their texts, and rows without an id do not count, but all of
 them lose frequent lines; rows that repeat a doc_id with the same text share one bitmap; an empty
-table gives an empty result; extra columns are ignored and kept by ``apply_bitmaps``.
+table gives an empty result; extra columns are ignored and kept by ``apply_bitmaps``,
+where columns named n_lines, n_dropped or kept_text give way to its own.
 """
 
 from __future__ import annotations

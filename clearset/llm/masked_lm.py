@@ -21,7 +21,8 @@ gathered grows with the input, what reaches the driver is one model of fixed siz
 
 Defined cases: a null text, or one without words, scores 0 with 0 words; long texts are
 read whole, in pieces that overlap by the window; rows that repeat a doc_id train and score
-each; an empty table leaves the starting model and gives an empty result; extra columns stay.
+each; an empty table leaves the starting model and gives an empty result; extra columns stay, but
+columns named n_words, log_prob or word_log_prob give way to the operator's own.
 """
 
 from __future__ import annotations
@@ -347,15 +348,15 @@ def score_words(docs: DataFrame, model: dict[str, np.ndarray], words: DataFrame,
             frame["rest"] = pd.Series(rest, dtype=object)
             yield frame
 
-    kept = [F.col(c) for c in docs.columns if c != text]
+    kept = [F.col(c) for c in docs.columns if c not in (text, "n_words", "log_prob", "word_log_prob")]
     lm = F.pandas_udf(run, "n_words long, log_prob double, word_log_prob double, rest array<long>")(F.col(text))
-    rows = docs.withColumn("__lm", lm).withColumn("__row", F.monotonically_increasing_id()).select(*kept, "__row", "__lm.*")
+    rows = docs.withColumn("__lm", lm).withColumn("__row", F.monotonically_increasing_id()).select(*kept, "__row", "__lm.n_words", "__lm.log_prob", "__lm.word_log_prob", F.col("__lm.rest").alias("__rest"))
     if not joined:
-        return rows.drop("__row", "rest")
+        return rows.drop("__row", "__rest")
     rows = materialize(rows, "scored-words")
-    tail = rows.select("__row", F.explode("rest").alias("word")).join(words.where((F.col("n") > 1) & (F.col("n") < least)), "word")
+    tail = rows.select("__row", F.explode("__rest").alias("word")).join(words.where((F.col("n") > 1) & (F.col("n") < least)), "word")
     more = tail.groupBy("__row").agg(F.sum(F.log("n")).alias("__more"))
-    out = rows.drop("rest").join(more, "__row", "left")
+    out = rows.drop("__rest").join(more, "__row", "left")
     return out.withColumn("word_log_prob", F.col("word_log_prob") + F.coalesce("__more", F.lit(0.0))).drop("__row", "__more")
 
 

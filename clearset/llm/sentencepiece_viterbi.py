@@ -23,7 +23,8 @@ its UTF-8 bytes where the model has byte pieces, else the unknown id.
 
 Defined cases: a null or empty text has no pieces and decodes to an empty text; texts of
 any length stream in bounded memory; repeated rows are encoded each; an empty table gives
-an empty result; extra columns stay.
+an empty result; extra columns stay, but columns named piece_ids, n_pieces, ids_crc32 or
+round_trip give way to the operator's own.
 """
 
 from __future__ import annotations

@@ -395,3 +395,23 @@ def test_shingle_pieces_equal_the_whole(monkeypatch):
     monkeypatch.setattr(shingles, "PIECE", 64)
     assert whole == [s.tolist() for _, part in shingles.sets_of(column) for s in part]
     assert len({s[0] for s in whole if len(s) == 1}) == 1
+
+
+def test_columns_named_like_the_results_give_way(spark, messy):
+    """Each operator's own columns win, once; all other extra columns stay."""
+    names = "n_words log_prob word_log_prob rest n_hit items n_lines n_dropped kept_text lang_pred lang_score toxic_score toxic_flag piece_ids n_pieces ids_crc32 round_trip".split()
+    docs = messy.select("doc_id", "text", *[F.lit("theirs").alias(n) for n in names])
+    words = masked_lm.vocabulary(docs)
+    own = {
+        "n_words log_prob word_log_prob": masked_lm.score_words(docs, masked_lm.train(docs, words=words), words),
+        "n_lines n_dropped kept_text": line_dedup.apply_bitmaps(docs, line_dedup.keep_bitmaps(docs)),
+        "lang_pred lang_score": lang_id.predict(docs, *lang_id.train(docs.withColumn("lang", F.lit("en")))),
+        "n_words n_hit items": decontamination.decontaminate(docs, docs.select(F.lit(1).alias("item_id"), "text")),
+        "piece_ids n_pieces round_trip": spv.encode(docs, PIECES),
+    }
+    for new, out in own.items():
+        assert len(set(out.columns)) == len(out.columns), new
+        rows = out.collect()
+        assert len(rows) == messy.count()
+        for name in set(names) & set(out.columns):
+            assert all((r[name] == "theirs") == (name not in new.split()) for r in rows), (new, name)
