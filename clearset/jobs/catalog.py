@@ -183,6 +183,11 @@ def pair_distance_counts(spark, d):
     return diagnostics.value_counts(pairs.where(F.col("dist").between(1, NEAR)), "dist")
 
 
+@query(f"SELECT CAST({_HAM} AS INT) AS dist, count(*) AS n FROM h x JOIN h y ON x.id < y.id WHERE {_HAM} <= {NEAR} GROUP BY 1")
+def near_pair_counts(spark, d):
+    return diagnostics.value_counts(similarity.hamming_pairs(_rows(spark, d), NEAR, bits=BITS), "dist")
+
+
 @query(f"SELECT x.id AS id_a, y.id AS id_b, CAST({_HAM} AS INT) AS dist FROM h x JOIN h y ON x.id < y.id WHERE {_HAM} <= {NEAR} ORDER BY 3, 1, 2 LIMIT 20")
 def closest_pairs(spark, d):
     return similarity.hamming_pairs(_rows(spark, d), NEAR, bits=BITS).orderBy("dist", "id_a", "id_b").limit(20)
@@ -398,6 +403,12 @@ def suspected_mislabels(spark, d):
     return _rounded(cleaning.suspected_mislabels(s.select("id", "label"), s.where("id % 3 <> 0").select("id", F.col("mislabel_score").alias("p"))), "suspicion_score")
 
 
+@query("SELECT id, round(abs(label - mislabel_score), 6) AS suspicion_score FROM s WHERE abs(label - mislabel_score) > 0.7")
+def all_suspected_mislabels(spark, d):
+    s = _scores(spark, d)
+    return _rounded(cleaning.suspected_mislabels(s.select("id", "label"), s.select("id", F.col("mislabel_score").alias("p"))), "suspicion_score")
+
+
 @query("""--with
 r AS (SELECT id, label, [NULL, 'ood', 'dup', 'mislabel', 'strange'][id % 5 + 1] AS w FROM s )
 SELECT CASE WHEN w IS NULL THEN 'train' ELSE 'excluded' END AS split, CASE WHEN w IS NULL THEN CASE WHEN label = 0 THEN 'clean' ELSE 'dusty' END WHEN w = 'strange' THEN 'mislabel' ELSE w END AS bucket,
