@@ -29,7 +29,7 @@ BUCKETS = 1 << 16
 #: Expected number of labelled rows that are fitted (a sample by hash of the doc_id).
 TRAIN_ROWS = 20_000
 #: Characters that are turned into n-grams at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def ngram_index(texts: list[str], buckets: int = BUCKETS, starts: int | None = None) -> tuple[list[np.ndarray], list[np.ndarray]]:

@@ -54,7 +54,7 @@ FREQUENT = 1 << 20
 FEW, FEW_AGAIN, LEADERS = 16, 48, 2
 FRAGMENTS = 8
 #: Shingles and classes of one block of a cluster, and columns that a task multiplies at once.
-BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 18, 2048, 4096
+BLOCK_SHINGLES, BLOCK_ROWS, COLUMNS = 1 << 18, 2048, 1024
 #: Rows of a block that are compared at once.
 STRIP = 256
 

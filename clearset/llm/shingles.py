@@ -15,7 +15,7 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 _LOWER += 1
 #: Bytes of text that are hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
 
