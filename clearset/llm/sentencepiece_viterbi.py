@@ -1,17 +1,15 @@
 """SentencePiece encoding and decoding by a streaming Viterbi search.
 
-The search runs over the characters of the escaped text and keeps the best score of the
-last ``longest`` boundaries only, ``longest`` being the length of the longest piece: no
-piece reaches further back.  Backpointers are kept from the last commit on; whenever the
-backpointers of all boundaries that a later piece can still start from lead through one
-boundary, the ids up to it are committed and forgotten.
-
-A boundary that no piece of the vocabulary spans is such a point whatever the scores are.
-For vocabularies whose pieces hold the space mark only at their beginning (or consist of
-marks) every word begins with one; texts are then cut there, each different word of a
-batch is searched once, and words of equal length are searched side by side in numpy.
-Words of more than ``SIDE_BY_SIDE`` characters, and texts under other vocabularies, go
-through the stream.
+Many texts are searched side by side in numpy, one step a character.  The search keeps the best
+score of the last ``longest`` boundaries of each text only, ``longest`` being the length of the
+longest piece: no piece reaches further back.  Backpointers are kept from the last commit on;
+whenever the backpointers of all boundaries that a later piece can still start from lead through
+one boundary, the ids up to it are committed and the backpointers before it forgotten.
+
+A boundary that no piece of the vocabulary spans is such a point whatever the scores are.  For
+vocabularies whose pieces hold the space mark only at their beginning (or consist of marks)
+every word begins with one; texts are then cut there, and each different word of a batch goes
+through the stream once.  Under other vocabularies whole texts do.
 
 The best sum of scores is what a unigram model asks for.  The scores of a BPE model are ranks
 of merges; its own ids come from merging in that order, which ``search="merges"`` gives: each
@@ -21,8 +19,8 @@ Scores are those of the model file: best sum, longest last piece among equal sum
 character without a piece counts ``UNKNOWN_PENALTY`` less than the worst piece and becomes
 its UTF-8 bytes where the model has byte pieces, else the unknown id.
 
-Defined cases: a null or empty text has no pieces and decodes to an empty text; texts of
-any length stream in bounded memory; repeated rows are encoded each; an empty table gives
+Defined cases: a null or empty text has no pieces and decodes to an empty text; of texts of any
+length the search holds a window, beside the text and its ids; repeated rows are encoded each; an empty table gives
 an empty result; extra columns stay, but columns named piece_ids, n_pieces, ids_crc32 or
 round_trip give way to the operator's own.
 """
@@ -45,7 +43,9 @@ from clearset.llm.text import small_batches
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-SIDE_BY_SIDE = 48
+LANES = 1024
+#: Stands behind the end of a text; no character has this code.
+NONE = np.uint32(0x110000)
 PIECE_CHARS = 1 << 21
 _MIX, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1F83D9ABFB41BD6B)
 
@@ -116,62 +116,120 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 
 class StreamingViterbi:
-    """Encodes one text that is fed piece by piece."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        self.tail = ""  # characters from the last commit on
-        self.best = [0.0]  # best score of the boundaries in the window, the last one latest
-        self.back: list[tuple[int, int]] = []  # (length, id) of the last piece of each boundary after the commit
-        self.ids: list[int] = []
+    """Encodes ``lanes`` texts that are fed side by side, some characters of each at a time."""
+
+    def __init__(self, vocabulary: Vocabulary, lanes: int = 1):
+        v = self.v = vocabulary
+        self.chunk = 2 * v.longest
+        self.scores = np.append(v.scores, -np.inf)
+        self.lane = np.arange(lanes)  # texts that go on
+        self.end = 0  # boundary that is reached
+        self.done = np.zeros(lanes, np.int64)  # last committed boundary
+        self.best = np.full((lanes, v.longest), -np.inf)  # best scores of the boundaries in the window, the last one latest
+        self.best[:, -1] = 0
+        self.tail = np.zeros((lanes, 0), np.uint32)  # characters that a piece can still begin with
+        # last piece of each boundary after ``base``: its length and id, or -1 - code point for a character without one
+        self.base = 0
+        self.length, self.piece = np.zeros((lanes, 0), np.int64), np.zeros((lanes, 0), np.int32)
+        self.out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # committed (text, boundary, id)
         self.most_kept = 0
 
-    def feed(self, text: str) -> None:
-        v = self.v
-        for c in text:
-            self.tail += c
-            end = len(self.tail)
-            score, length, piece = self.best[-1] + v.unknown, 1, -1
-            if c in v.ids:
-                score, piece = -np.inf, -1
-            for k in range(min(v.longest, end), 0, -1):  # longer pieces first: they win ties
-                i = v.ids.get(self.tail[end - k :])
-                if i is not None and self.best[-k] + v.scores[i] > score:
-                    score, length, piece = self.best[-k] + v.scores[i], k, i
-            self.back.append((length, piece))
-            self.best.append(score)
-            if len(self.best) > v.longest:
-                del self.best[0]
-            self.most_kept = max(self.most_kept, len(self.back))
-            if len(self.back) >= 2 * v.longest and len(self.back) % v.longest == 0:
-                self.commit()
+    def step(self, codes: np.ndarray) -> None:
+        """Move over the next characters (lanes x characters)."""
+        v, (n, size) = self.v, codes.shape
+        window, before = v.longest, self.tail.shape[1]
+        chars = np.concatenate([self.tail, codes], axis=1)
+        wide = chars.astype(np.uint64)
+        # pieces by their end and length; longer ones first: they win ties
+        ids = np.full((n, size, window), -1, np.int32)
+        hashes = np.full(chars.shape, _SEED)
+        for k in range(1, min(window, chars.shape[1]) + 1):
+            hashes = (hashes[:, : chars.shape[1] - k + 1] ^ wide[:, k - 1 :]) * _MIX + np.uint64(1)
+            hashes ^= hashes >> np.uint64(29)
+            first = max(0, before + 1 - k)  # earlier ones end before these characters
+            ids[:, first + k - 1 - before :, window - k] = v.find(hashes[:, first:])
+        gain = self.scores[ids]
+        alone = gain[:, :, -1]
+        alone[ids[:, :, -1] < 0] = v.unknown
+        best = np.concatenate([self.best, np.empty((n, size))], axis=1)
+        choice, rows = np.empty((n, size), np.int64), np.arange(n)
+        for t in range(size):
+            reached = best[:, t : t + window] + gain[:, t]
+            choice[:, t] = reached.argmax(axis=1)
+            best[:, window + t] = reached[rows, choice[:, t]]
+        piece = np.take_along_axis(ids, choice[:, :, None], axis=2)[:, :, 0]
+        self.length = np.concatenate([self.length, window - choice], axis=1)
+        self.piece = np.concatenate([self.piece, np.where(piece < 0, -1 - codes.astype(np.int64), piece).astype(np.int32)], axis=1)
+        self.best, self.tail, self.end = best[:, size:], chars[:, max(0, chars.shape[1] - window + 1) :], self.end + size
+        self.most_kept = max(self.most_kept, self.length.shape[1])
 
     def commit(self) -> None:
-        """Emit ids up to the boundary that all paths in the window lead through, if any."""
-        end = len(self.back)
-        alive = set(range(max(0, end - len(self.best) + 1), end + 1))
-        while len(alive) > 1:  # step the farthest boundary back until all meet
-            far = max(alive)
-            alive.discard(far)
-            alive.add(far - self.back[far - 1][0] if far else 0)
-        self.emit(alive.pop())
-
-    def emit(self, to: int) -> None:
-        if not to:
+        """Emit the ids of each text up to the boundary that all its paths in the window lead
+        through, if any, and forget what all texts have committed."""
+        if not len(self.lane):
             return
-        out = []
-        at = to
-        while at:
-            length, piece = self.back[at - 1]
-            out.append(unknown_ids(self.v, self.tail[at - 1]) if piece < 0 else [piece])
-            at -= length
-        for ids in reversed(out):
-            self.ids += ids
-        self.tail, self.back = self.tail[to:], self.back[to:]
+        alive = np.maximum(np.arange(self.end - self.v.longest + 1, self.end + 1), self.done[:, None])
+        open_ = np.arange(len(alive))
+        while len(open_):  # step the farthest boundary back until all meet
+            own = alive[open_]
+            far, near = own.max(axis=1), own.min(axis=1)
+            apart = far > near
+            open_, own, far = open_[apart], own[apart], far[apart]
+            back = far - self.length[open_, far - self.base - 1]
+            alive[open_] = np.where(own == far[:, None], back[:, None], own)
+        self.emit(np.arange(len(alive)), alive[:, 0])
+        self.done = alive[:, 0].copy()
+        cut = int(self.done.min()) - self.base
+        self.base += cut
+        self.length, self.piece = self.length[:, cut:], self.piece[:, cut:]
+
+    def emit(self, rows: np.ndarray, to: np.ndarray) -> None:
+        """Walk back from the boundaries ``to`` to the last commits."""
+        done = self.done[rows]
+        while len(rows):
+            going = to > done
+            rows, to, done = rows[going], to[going], done[going]
+            self.out.append((self.lane[rows], to, self.piece[rows, to - self.base - 1]))
+            to = to - self.length[rows, to - self.base - 1]
+
+    def close(self, ends: np.ndarray) -> None:
+        """Emit what is left of the texts that end at boundaries up to the one reached, and leave them."""
+        over = ends <= self.end
+        self.emit(np.flatnonzero(over), ends[over])
+        for name in ("lane", "done", "best", "tail", "length", "piece"):
+            setattr(self, name, getattr(self, name)[~over])
+
+    def result(self, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each text)."""
+        who, where, what = (np.concatenate(x) for x in zip(*self.out)) if self.out else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((where, who))
+        who, what = who[order], what[order]
+        lens = np.bincount(who, minlength=lanes)
+        missing = np.flatnonzero(what < 0)
+        if len(missing):  # characters without a piece become one id or several
+            own = [unknown_ids(self.v, chr(-1 - c)) for c in what[missing].tolist()]
+            many = np.ones(len(what), np.int64)
+            many[missing] = [len(x) for x in own]
+            np.add.at(lens, who[missing], many[missing] - 1)
+            begin = np.cumsum(many) - many
+            what = np.repeat(what, many)
+            for i, x in zip(begin[missing].tolist(), own):
+                what[i : i + len(x)] = x
+        return what.astype(np.int32), lens
+
+    def feed(self, text: str) -> None:
+        """The next characters of a single text."""
+        for a in range(0, len(text), self.chunk):
+            self.step(codes_of(text[a : a + self.chunk])[None])
+            self.commit()
 
     def finish(self) -> list[int]:
-        self.emit(len(self.back))
-        return self.ids
+        self.close(np.array([self.end]))
+        return self.result(1)[0].tolist()
+
+
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def unknown_ids(v: Vocabulary, c: str) -> list[int]:
@@ -187,72 +245,32 @@ def stream(v: Vocabulary, escaped: str) -> list[int]:
 
 
 def side_by_side(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The same search for many words of one length at once: one numpy step a boundary, with
-    the scores of the last ``longest`` boundaries in view.  (ids, ids of each word)."""
-    n, size = len(words), len(words[0])
-    chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, size).astype(np.uint64)
-    scores = np.append(v.scores, -np.inf)
-    best = np.full((n, size + 1), -np.inf)
-    best[:, 0] = 0
-    length, piece = np.ones((n, size + 1), np.int8), np.full((n, size + 1), -1, np.int32)
-    hashes = np.full((n, size), _SEED)  # of the pieces that begin at each place, by length
-    found: list[np.ndarray] = []  # length - 1 -> ids of the pieces that begin at each place
-    for k in range(1, min(v.longest, size) + 1):
-        hashes = (hashes[:, : size - k + 1] ^ chars[:, k - 1 :]) * _MIX + np.uint64(1)
-        hashes ^= hashes >> np.uint64(29)
-        found.append(v.find(hashes))
-    single = found[0]
-    for end in range(1, size + 1):
-        score = np.where(single[:, end - 1] < 0, best[:, end - 1] + v.unknown, -np.inf)
-        for k in range(min(v.longest, end), 0, -1):
-            ids = found[k - 1][:, end - k]
-            other = best[:, end - k] + scores[ids]
-            better = other > score
-            if better.any():
-                np.copyto(score, other, where=better)
-                length[better, end], piece[better, end] = k, ids[better]
-        best[:, end] = score
-    # walk all paths back together
-    at, rows, out = np.full(n, size), np.arange(n), []
-    while len(rows):
-        out.append((rows, at, piece[rows, at]))
-        at = at - length[rows, at]
-        rows, at = rows[at > 0], at[at > 0]
-    who, where, what = (np.concatenate(x) for x in zip(*out))
-    order = np.argsort(who * (size + 1) + where)
-    who, where, what = who[order], where[order], what[order]
-    lens = np.bincount(who, minlength=n)
-    missing = np.flatnonzero(what < 0)
-    if len(missing):  # characters without a piece become one id or several
-        own = [unknown_ids(v, words[who[i]][where[i] - 1]) for i in missing]
-        many = np.ones(len(what), np.int64)
-        many[missing] = [len(x) for x in own]
-        np.add.at(lens, who[missing], many[missing] - 1)
-        begin = np.cumsum(many) - many
-        what = np.repeat(what, many)
-        for i, x in zip(begin[missing], own):
-            what[i : i + len(x)] = x
-    return what, lens
+    """One stream over words of any lengths, a lane each.  (ids, ids of each word)."""
+    codes, ends = codes_of("".join(words)), np.fromiter(map(len, words), np.int64, len(words))
+    begin = np.cumsum(ends) - ends
+    s = StreamingViterbi(v, len(words))
+    s.close(ends)  # empty ones
+    while len(s.lane):
+        own = ends[s.lane]
+        at = s.end + np.arange(min(s.chunk, int(own.max()) - s.end))
+        inside = at < own[:, None]
+        s.step(np.where(inside, codes[np.where(inside, begin[s.lane][:, None] + at, 0)], NONE))
+        s.close(own)
+        s.commit()
+    return s.result(len(words))
 
 
 def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, where those of each word begin, and how many they are)."""
     begin, lens = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     flat, n = [np.zeros(0, np.int32)], 0
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    short = sizes <= SIDE_BY_SIDE if v.words_apart else np.zeros(len(words), bool)
-    for i in np.flatnonzero(~short):
-        ids = stream(v, words[i])
-        flat.append(np.array(ids, np.int32))
-        begin[i], lens[i], n = n, len(ids), n + len(ids)
-    for size in np.unique(sizes[short]):
-        own = np.flatnonzero(short & (sizes == size))
-        for a in range(0, len(own), 4096):  # what numpy works on stays in the cache
-            part = own[a : a + 4096]
-            ids, counts = side_by_side(v, [words[i] for i in part])
-            flat.append(ids)
-            begin[part], lens[part] = n + np.cumsum(counts) - counts, counts
-            n += len(ids)
+    order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
+    for a in range(0, len(order), LANES):  # words of about one length; what numpy works on stays small
+        part = order[a : a + LANES]
+        ids, counts = side_by_side(v, [words[i] for i in part])
+        flat.append(ids)
+        begin[part], lens[part] = n + np.cumsum(counts) - counts, counts
+        n += len(ids)
     return np.concatenate(flat), begin, lens
 
 
@@ -280,9 +298,12 @@ def split_marks(escaped: str) -> list[str]:
     return out + [marks] if marks else out
 
 
-def encode_batch(v: Vocabulary, texts: list[str], search: str = "scores") -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all texts, ids of each text)."""
-    by_word = {"scores": encode_words, "merges": merge_words}[search]
+SEARCHES = {"scores": encode_words, "merges": merge_words}
+
+
+def encode_batch(v: Vocabulary, texts: list[str], *searches: str) -> list[np.ndarray]:
+    """For each search, "scores" if none is named: ids of all texts, ids of each text."""
+    searches = searches or ("scores",)
     words: list[str] = []
     sizes = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -292,15 +313,17 @@ def encode_batch(v: Vocabulary, texts: list[str], search: str = "scores") -> tup
             sizes[i] = len(own)
             words += own
     if not words:
-        return np.zeros(0, np.int32), sizes
+        return [np.zeros(0, np.int32), sizes] * len(searches)
     names = dict.fromkeys(words)
     names.update(zip(names, range(len(names))))
     code = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
-    flat, begin, lens = by_word(v, list(names))
-    n = lens[code]
-    ids = flat[np.repeat(begin[code] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    before, edge = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(sizes)]
-    return ids, before[edge[1:]] - before[edge[:-1]]
+    edge, out = np.r_[0, np.cumsum(sizes)], []
+    for search in searches:
+        flat, begin, lens = SEARCHES[search](v, list(names))
+        n = lens[code]
+        before = np.r_[0, np.cumsum(n)]
+        out += [flat[np.repeat(begin[code] - before[:-1], n) + np.arange(n.sum())], before[edge[1:]] - before[edge[:-1]]]
+    return out
 
 
 class Decoder:
@@ -335,36 +358,43 @@ def batches_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
             first, n = i + 1, 0
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores", also: str | None = None) -> DataFrame:
     """``docs`` with piece_ids and, with ``verify``, round_trip: whether they decode to the text.
     ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum)
-    or "merges" (the ids of the library).  Encoding and decoding share
-    a task; batches are cut into pieces, so that a worker holds a few megabytes at a time."""
+    or "merges" (the ids of the library); ``also`` adds the columns of a second one, in the same
+    pass, with its name in front.  Encoding and decoding share a task; batches are cut into
+    pieces, so that a worker holds a few megabytes at a time."""
     small_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in ("piece_ids", "n_pieces", "ids_crc32", "round_trip")]
-    added = ["n_pieces long", "ids_crc32 long"] if digest else ["piece_ids array<int>"]
-    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), *added, *(["round_trip boolean"] if verify else [])]
+    searches = [search, also] if also else [search]
+    kinds = {"n_pieces": "long", "ids_crc32": "long"} if digest else {"piece_ids": "array<int>"}
+    if verify:
+        kinds["round_trip"] = "boolean"
+    added = {f"{front}{name}": kind for front in ["", f"{also}_"][: len(searches)] for name, kind in kinds.items()}
+    kept = [c for c in docs.columns if c not in {"piece_ids", "n_pieces", "ids_crc32", "round_trip", *added}]
+    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), *(f"`{name}` {kind}" for name, kind in added.items())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(model_path)
         decoder = Decoder(v)
         for batch in batches:
             column = batch.column(batch.schema.names.index(text))
+            given = [c for c, name in zip(batch.columns, batch.schema.names) if name in kept]
             for a, b in batches_of(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
                 texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                ids, counts = encode_batch(v, texts, search)
-                edge = np.r_[0, np.cumsum(counts)]
-                if digest:
-                    raw = memoryview(ids.astype("<u4").tobytes())
-                    crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edge[:-1], edge[1:])]
-                    new = [pa.array(counts, pa.int64()), pa.array(crc, pa.int64())]
-                else:
-                    new = [pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))]
-                if verify:
-                    new.append(pa.array([decoder.decode(ids[x:y]) == t for x, y, t in zip(edge[:-1], edge[1:], texts)], pa.bool_()))
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), *new], [*batch.schema.names, *(f.split(" ")[0] for f in added), *(["round_trip"] if verify else [])])
-
-    return docs.select(kept).mapInArrow(run, ", ".join(fields))
+                coded, new = encode_batch(v, texts, *searches), []
+                for ids, counts in zip(coded[::2], coded[1::2]):
+                    edge = np.r_[0, np.cumsum(counts)]
+                    if digest:
+                        raw = memoryview(ids.astype("<u4").tobytes())
+                        crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(edge[:-1], edge[1:])]
+                        new += [pa.array(counts, pa.int64()), pa.array(crc, pa.int64())]
+                    else:
+                        new.append(pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32))))
+                    if verify:
+                        new.append(pa.array([decoder.decode(ids[x:y]) == t for x, y, t in zip(edge[:-1], edge[1:], texts)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in given), *new], [*kept, *added])
+
+    return docs.select(*kept).mapInArrow(run, ", ".join(fields))
 
 
 def decode(docs: DataFrame, model_path: str, ids: str = "piece_ids", out: str = "decoded") -> DataFrame:
@@ -385,7 +415,6 @@ def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    own = encode(docs, path, digest=True, search="merges")
-    own = own.withColumnsRenamed({c: f"model_{c}" for c in ("n_pieces", "ids_crc32", "round_trip")})
-    coded = encode(own, path, digest=True)
-    return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip", "model_n_pieces", "model_ids_crc32", "model_round_trip")
+    coded = encode(docs, path, digest=True, also="merges")
+    named = coded.withColumnsRenamed({f"merges_{c}": f"model_{c}" for c in ("n_pieces", "ids_crc32", "round_trip")})
+    return named.select("doc_id", "n_pieces", "ids_crc32", "round_trip", "model_n_pieces", "model_ids_crc32", "model_round_trip")

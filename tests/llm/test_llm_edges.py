@@ -284,6 +284,51 @@ def test_side_by_side_equals_the_stream(messy):
     assert [spv.Decoder(v).decode(np.array(p, int)) for p in parts] == texts
 
 
+def best_ids_brute(v, text):
+    """Unbounded search with equal sums going to the longest last piece."""
+    best = [(0.0, 0, -1)]
+    for end in range(1, len(text) + 1):
+        tries = [(best[end - k][0] + v.scores[v.ids[text[end - k : end]]], k, v.ids[text[end - k : end]]) for k in range(1, end + 1) if text[end - k : end] in v.ids]
+        best.append(max(tries if text[end - 1] in v.ids else [*tries, (best[end - 1][0] + v.unknown, 1, -1)], key=lambda t: t[:2]))
+    ids, at = [], len(text)
+    while at:
+        _, k, i = best[at]
+        ids[:0] = [i] if i >= 0 else spv.unknown_ids(v, text[at - 1])
+        at -= k
+    return ids
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_lanes_of_any_lengths_equal_an_unbounded_search(seed):
+    rng = np.random.default_rng(seed)
+    text = lambda n: "".join(rng.choice(list("abcé▁"), n))
+    pieces = ["<unk>", *sorted({text(int(n)) for n in rng.integers(1, 6, 60)} - {"c"})]  # marks inside pieces: texts stay whole
+    v = spv.Vocabulary(pieces, -rng.integers(1, 6, len(pieces)).astype(float), np.arange(1, len(pieces)), None, 0)  # many equal sums
+    texts = [text(int(n)) for n in (0, 1, 9, 10, 11, 40, 41, 300)] + [text(3) * 50, ""]
+    ids, counts = spv.side_by_side(v, texts)
+    assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [best_ids_brute(v, t) for t in texts]
+    assert spv.side_by_side(v, [""])[1].tolist() == [0] and not v.words_apart
+
+
+def test_lanes_keep_a_window_only():
+    v = spv.load_vocabulary(PIECES)
+    s, texts = spv.StreamingViterbi(v, 3), ["thequickbrown" * 4000, "日本語テキスト" * 8000, "x-" * 26000]
+    for a in range(0, 52000, s.chunk):
+        s.step(np.stack([spv.codes_of(t[a : min(a + s.chunk, 52000)]) for t in texts]))
+        s.commit()
+    assert s.most_kept <= 4 * v.longest and s.best.shape[1] == v.longest and s.tail.shape[1] < v.longest
+    s.close(np.full(3, 52000))
+    ids, counts = s.result(3)
+    assert [spv.Decoder(v).decode(p) for p in np.split(ids, np.cumsum(counts)[:-1])] == [t[:52000] for t in texts]
+
+
+def test_two_searches_in_one_pass(messy):
+    got = spv.encode(messy, PIECES, also="merges", digest=True).orderBy("doc_id", "ids_crc32").collect()
+    for search, front in (("scores", ""), ("merges", "merges_")):
+        alone = spv.encode(messy, PIECES, digest=True, search=search)
+        assert sorted((str(r["doc_id"]), r["n_pieces"], r["ids_crc32"]) for r in alone.collect()) == sorted((str(r["doc_id"]), r[front + "n_pieces"], r[front + "ids_crc32"]) for r in got)
+
+
 def test_sentencepiece_columns(messy, empty):
     coded = spv.encode(messy, PIECES)
     assert coded.count() == 11 and coded.where("NOT round_trip").count() == 0
