@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clearset.llm.shingles import set_key, sets_of
-from clearset.llm.text import row_key, small_batches
+from clearset.llm.text import give_back, row_key, small_batches
 from clearset.operators.components import connected_components
 from clearset.storage import checked_broadcast, materialize, release
 
@@ -115,6 +115,7 @@ def shingle_classes(docs: DataFrame, frequent: DataFrame, percent: int, words: i
         return signed(np.concatenate([own[~late][:size], own[late]])[:size])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for first, sets in sets_of(batch.column(2), words):
                 prefixes = [prefix(own) for own in sets]
@@ -137,6 +138,7 @@ def segments(docs: DataFrame, words: int) -> DataFrame:
     """(v, fragment, shingles) of the sets of (v, text), cut at fixed places of the order."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         bounds = (np.arange(1, FRAGMENTS, dtype=np.uint64)) << np.uint64(64 - FRAGMENTS.bit_length() + 1)
         for batch in batches:
             for first, sets in sets_of(batch.column(1), words):
@@ -170,6 +172,7 @@ def block_links(percent: int):
     forest; rows (block, v, shingles) and, where there are several, fragment and part."""
 
     def link(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         _, i, j = key
         ids, at, row = np.unique(pdf["v"].to_numpy(), return_index=True, return_inverse=True)
         own_block = pdf["block"].to_numpy()[at]

@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearset.llm.text import small_batches
+from clearset.llm.text import give_back, small_batches
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -374,6 +374,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
     fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(kept).schema), *(f"`{name}` {kind}" for name, kind in added.items())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         v = vocabulary(model_path)
         decoder = Decoder(v)
         for batch in batches:

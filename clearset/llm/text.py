@@ -1,7 +1,10 @@
-"""Column helpers that the text operators share (JVM-side only)."""
+"""Column helpers that the text operators share (JVM-side only), and the memory of Python workers."""
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return to the system what this Python worker holds free.  Spark keeps workers from one task to the
+    next, beside the executor's heap; called where a task begins, this drops what those before it took."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc only
+        libc.malloc_trim(0)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only.  ``lower`` is used for pure ASCII, where both agree and it is
     much cheaper than ``translate``."""
