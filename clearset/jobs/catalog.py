@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clearset import storage
 from clearset.functions import scores as fn
-from clearset.jobs import scoring
+from clearset.jobs import reference, scoring
 from clearset.operators import cleaning, dedup, diagnostics, hash_neighbours, images, metrics, mislabel, outliers, ranking, similarity, sketches, validate
 from clearset.sources import tables
 
@@ -269,7 +269,21 @@ def known_duplicate_places(spark, d):
     return ranking.position(_scores(spark, d).select("id", "dup_score"), "dup_score", "place").where("id % 50 = 7")
 
 
-@query()
+def _greedy(most: int) -> str:
+    """lost: the removed rows of the greedy rule, which goes through the rows in the order of their ids
+    and keeps the list of those that lead."""
+    far = lambda one, many: f"CAST(bit_count(CAST(xor({one}, {many}) AS BIGINT)) AS INT)"
+    return f"""o AS (SELECT row_number() OVER (ORDER BY id) AS n, id, hash FROM h ),
+w AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS ids, CAST([] AS BIGINT[]) AS hashes UNION ALL
+SELECT o.n, CASE WHEN len(list_filter(hashes, lambda y: {far('o.hash', 'y')} <= {most})) > 0 THEN ids ELSE list_append(ids, o.id) END,
+CASE WHEN len(list_filter(hashes, lambda y: {far('o.hash', 'y')} <= {most})) > 0 THEN hashes ELSE list_append(hashes, o.hash) END FROM w JOIN o ON o.n = w.n + 1),
+l AS (SELECT unnest(ids) AS leader, unnest(hashes) AS lh FROM (SELECT * FROM w ORDER BY n DESC LIMIT 1)),
+lost AS (SELECT id, min(leader) AS leader, arg_min({far('hash', 'lh')}, leader) AS dist FROM o JOIN l ON leader < id AND {far('hash', 'lh')} <= {most} WHERE id NOT IN (SELECT leader FROM l) GROUP BY id)"""
+
+
+@query(f"""--with RECURSIVE
+{_greedy(NEAR)}
+SELECT id, leader, dist, 1 - dist / CAST({NEAR + 1} AS DOUBLE) AS suspicion_score FROM lost""")
 def greedy_dedup(spark, d):
     return dedup.greedy_dedup(_rows(spark, d), NEAR, bits=BITS)
 
@@ -699,7 +713,33 @@ def filter_pipeline(spark, d):
     return scoring.filter_pipeline(rows, max_distance=1, oof=oof, bits=BITS)[0]
 
 
-@query(f"""--with
+#: The modules of the pipeline that SQL can express, with out-of-fold probabilities that stand in.
+_REMOVED = f"""{_greedy(1)},
+gone AS (SELECT id, 'duplicate' AS noise_type FROM lost UNION ALL SELECT id, 'mislabel' FROM b WHERE abs(label - ((id * 37) % 101) / CAST(100 AS DOUBLE)) > 0.7)"""
+
+
+def _by_rules(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = _rows(spark, d)
+    oof = rows.select("id", ((F.col("id") * 37 % 101) / F.lit(100.0)).alias("p"))
+    return scoring.filter_pipeline(rows, ("duplicate", "mislabel"), max_distance=1, oof=oof, bits=BITS)
+
+
+@query(f"--with RECURSIVE\n{_REMOVED}\nSELECT id, label FROM b WHERE id NOT IN (SELECT id FROM gone)")
+def filter_pipeline_by_rules(spark, d):
+    return _by_rules(spark, d)[0]
+
+
+@query(f"""--with RECURSIVE
+{_REMOVED}
+SELECT noise_type AS item, count(*) AS n FROM gone GROUP BY noise_type
+UNION ALL SELECT 'distinct_removed', count(DISTINCT id) FROM gone
+UNION ALL SELECT 'before', count(*) FROM b
+UNION ALL SELECT 'after', count(*) FROM b WHERE id NOT IN (SELECT id FROM gone)""")
+def filter_pipeline_report(spark, d):
+    return _by_rules(spark, d)[1]
+
+
+_CROSS_SET = f"""--with
 tr AS (SELECT * FROM b WHERE id % 5 <> 0), te AS (SELECT * FROM b WHERE id % 5 = 0),
 c AS (SELECT list(m ORDER BY i) AS vec FROM (SELECT i, avg(v) AS m FROM (SELECT unnest(vec) AS v, generate_subscripts(vec, 1) AS i FROM tr) GROUP BY i)),
 k AS (SELECT id, avg(d) FILTER (n <= 5) AS knn FROM (SELECT x.id, {_DIST} AS d, row_number() OVER (PARTITION BY x.id ORDER BY {_DIST}, y.id) AS n FROM te x JOIN tr y ON x.id <> y.id) GROUP BY id),
@@ -707,12 +747,50 @@ g AS (SELECT x.id, {_DIST} AS d, {_LEN.replace('text', 'x.text')} AS l, knn FROM
 m AS (SELECT id, ({_avg_rank('round(d, 9)')} + {_avg_rank('l')} + {_avg_rank('round(knn, 9)')}) / 3.0 AS o FROM g),
 z AS (SELECT x.id, CAST(max(-{_HAM}) AS DOUBLE) AS u FROM h x JOIN h y ON x.id <> y.id WHERE x.id % 5 = 0 GROUP BY x.id),
 j AS (SELECT m.id, u, o FROM m JOIN z ON m.id = z.id)
-SELECT id, round((u - min(u) OVER ()) / (max(u) OVER () - min(u) OVER ()), 6) AS dup_score, round((o - min(o) OVER ()) / (max(o) OVER () - min(o) OVER ()), 6) AS ood_score FROM j""")
+SELECT id, round((u - min(u) OVER ()) / (max(u) OVER () - min(u) OVER ()), 6) AS dup_score, round((o - min(o) OVER ()) / (max(o) OVER () - min(o) OVER ()), 6) AS ood_score FROM j"""
+
+
+@query(_CROSS_SET)
 def cross_set_scores(spark, d):
     rows = _rows(spark, d)
     return _rounded(scoring.cross_set_scores(rows.where("id % 5 <> 0"), rows.where("id % 5 = 0"), bits=BITS), "dup_score", "ood_score")
 
 
+def _arrived(spark: SparkSession, d: str) -> tuple[reference.Reference, str]:
+    """The training rows fitted, and a log of the others, which come in two parts."""
+    rows = _rows(spark, d)
+    ref = reference.fit(rows.where("id % 5 <> 0"), storage.new_path(spark, "reference"), bits=BITS)
+    log = storage.new_path(spark, "arrived")
+    for part in (0, 5):
+        reference.absorb(ref, rows.where(f"id % 10 = {part}"), log, part)
+    return ref, log
+
+
+@query(_CROSS_SET)
+def cross_set_scores_in_parts(spark, d):
+    return _rounded(reference.current_scores(*_arrived(spark, d)), "dup_score", "ood_score")
+
+
+def _arrived_signals(rows: str) -> str:
+    """(id, feature, x) of ``rows`` against the training rows."""
+    return f"""SELECT id, unnest(['d', 'l', 'k']) AS feature, unnest([d, l, k]) AS x FROM (
+SELECT x.id, round({_DIST.replace('y.vec', 'c.vec')}, 9) AS d, CAST({_LEN.replace('text', 'any_value(x.text)')} AS DOUBLE) AS l, round(avg(nd) FILTER (n <= 5), 9) AS k
+FROM {rows} x JOIN (SELECT x.id, {_DIST} AS nd, row_number() OVER (PARTITION BY x.id ORDER BY {_DIST}, y.id) AS n FROM {rows} x JOIN tr y ON x.id <> y.id) z ON x.id = z.id, c GROUP BY x.id, x.vec, c.vec)"""
+
+
+@query(f"""--with
+tr AS (SELECT * FROM b WHERE id % 5 <> 0), te AS (SELECT * FROM b WHERE id % 5 = 0),
+c AS (SELECT list(m ORDER BY i) AS vec FROM (SELECT i, avg(v) AS m FROM (SELECT unnest(vec) AS v, generate_subscripts(vec, 1) AS i FROM tr) GROUP BY i)),
+f AS ({_arrived_signals('tr')}), t AS ({_arrived_signals('te')}),
+r AS (SELECT feature, x, (rank() OVER (PARTITION BY feature ORDER BY x) + (count(*) OVER (PARTITION BY feature, x) - 1) / 2.0) / count(*) OVER (PARTITION BY feature) AS share FROM f),
+o AS (SELECT id, sum(share) / 3 AS ood FROM (SELECT t.id, t.feature, coalesce(max(share), 0) AS share FROM t LEFT JOIN r ON r.feature = t.feature AND r.x <= t.x GROUP BY t.id, t.feature) GROUP BY id),
+z AS (SELECT x.id, CAST(max(-{_HAM}) AS DOUBLE) AS u FROM h x JOIN h y ON x.id <> y.id WHERE x.id % 5 = 0 GROUP BY x.id),
+e AS (SELECT min(u) AS lo, max(u) AS hi FROM (SELECT CAST(max(-{_HAM}) AS DOUBLE) AS u FROM h x JOIN h y ON x.id <> y.id WHERE x.id % 5 <> 0 AND y.id % 5 <> 0 GROUP BY x.id))
+SELECT o.id, round(CASE WHEN hi = lo THEN 0 ELSE greatest(0, least(1, (u - lo) / (hi - lo))) END, 6) AS dup_score, round(ood, 6) AS ood_score FROM o JOIN z ON o.id = z.id, e""")
+def scores_against_training_set(spark, d):
+    return _rounded(reference.fitted_scores(*_arrived(spark, d)), "dup_score", "ood_score")
+
+
 @query()
 def image_features(spark, d):
     return images.image_features(images.rasters_from_vectors(_rows(spark, d)))

@@ -15,11 +15,17 @@ from clearset.operators import ranking, similarity, vector_neighbours
 from clearset.storage import materialize
 
 
-def centroid_distance(df: DataFrame, reference: DataFrame | None = None, out: str = "centroid_dist") -> DataFrame:
+def center_of(df: DataFrame) -> DataFrame:
+    """One row: the mean vector ``__c`` of ``vec``."""
+    parts = df.select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    return parts.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("__c"))  # one entry a dimension
+
+
+def centroid_distance(df: DataFrame, reference: DataFrame | None = None, out: str = "centroid_dist", center: DataFrame | None = None) -> DataFrame:
     """(id, centroid_dist): Euclidean distance of ``vec`` to the mean vector of ``reference``
-    (of ``df`` itself, if None)."""
-    parts = (reference if reference is not None else df).select(F.posexplode("vec").alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    center = parts.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda p: p["x"]).alias("__c"))  # one row, one entry a dimension
+    (of ``df`` itself, if None), or to a ``center`` that is known already (see ``center_of``)."""
+    if center is None:
+        center = center_of(reference if reference is not None else df)
     return df.join(F.broadcast(center), how="cross").select("id", scores.euclidean(F.col("vec"), F.col("__c")).alias(out))
 
 

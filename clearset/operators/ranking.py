@@ -76,6 +76,20 @@ def _value_ranks(df: DataFrame, cols: list[str], descending: bool = False) -> Da
     return d.select("feature", "x", rank.alias("rank"))
 
 
+def cumulative_shares(df: DataFrame, cols: list[str], steps: int = 4096) -> DataFrame:
+    """(feature, x, share): for each column (its place in ``cols``) at most ``steps`` + 1 of its values in
+    order, with the average rank of each divided by the rows that have a value.
+
+    All values of a column of up to ``steps`` rows are kept; of more, the first value of each step of
+    the ranks, so that a share read from the table is at most 1 / ``steps`` too low.
+    """
+    ranks = materialize(_value_ranks(df, cols), "value-ranks")
+    sizes = _long(df, cols).where("x IS NOT NULL").groupBy("feature").agg(F.count("*").alias("n"))  # one row a column
+    d = ranks.join(F.broadcast(sizes), "feature").withColumn("share", F.col("rank") / F.col("n"))
+    kept = d.groupBy("feature", F.floor(F.col("share") * steps).alias("step")).agg(F.min(F.struct("x", "share")).alias("v"))
+    return kept.select("feature", "v.x", "v.share")
+
+
 def average_ranks(df: DataFrame, cols: list[str], id_col: str = "id") -> DataFrame:
     """(id, cols as doubles, r_<col>): the ``average_rank`` of every column, from one table of ranges.
     Ids have to be unique."""

@@ -68,6 +68,12 @@ def release(*tables: DataFrame) -> None:
         drop_path(table.sparkSession, table.scratch_path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there (through Hadoop's file system)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared one (through Hadoop's file system)."""
     if not path.startswith(shared_dir(spark)):

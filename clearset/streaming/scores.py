@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from clearset.jobs.scoring import cross_set_scores
+from clearset.jobs import reference
 
 
-def score_stream(rows: DataFrame, train: DataFrame, out: str, checkpoint: str, k: int = 5) -> StreamingQuery:
-    """Start a query that scores each micro-batch of (id, vec, hash, text) against ``train`` and
-    writes it to ``out``; a batch that is run again replaces its own folder."""
+def score_stream(rows: DataFrame, train: DataFrame, out: str, checkpoint: str, k: int = 5, bits: int = 64) -> StreamingQuery:
+    """Start a query that adds each micro-batch of (id, vec, hash, text) to the log ``out``; a batch
+    that is run again replaces its own part.  The training set is fitted when the first query
+    starts and kept in ``out``.  Read scores with ``stream_scores``."""
+    ref = reference.fit(train, f"{out}/_reference", k, bits)
 
-    def score(batch: DataFrame, number: int) -> None:
+    def absorb(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            cross_set_scores(train, batch, k).write.mode("overwrite").parquet(f"{out}/batch={number}")
+            reference.absorb(ref, batch, out, number)
 
-    return rows.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(absorb).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_scores(train: DataFrame, out: str, k: int = 5, bits: int = 64, fitted: bool = False) -> DataFrame:
+    """(id, dup_score, ood_score) of all rows that the stream has brought so far, the same however it was
+    cut into batches: among each other, or ``fitted`` against the training set."""
+    ref = reference.fit(train, f"{out}/_reference", k, bits)
+    return (reference.fitted_scores if fitted else reference.current_scores)(ref, out)

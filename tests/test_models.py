@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clearset.jobs import scoring
 from clearset.operators import mislabel, similarity
 from clearset.sources import tables
-from clearset.streaming.scores import score_stream
+from clearset.streaming.scores import score_stream, stream_scores
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +71,9 @@ def test_stream_equals_batch(spark, flipped, tmp_path):
     q.awaitTermination(120)
     got = {r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {r["id"] for r in test.collect()}
+    close = lambda d: {r["id"]: (round(r["dup_score"], 9), round(r["ood_score"], 9)) for r in d.collect()}
+    want = close(scoring.cross_set_scores(train, test))
+    assert close(stream_scores(train, str(tmp_path / "out"))) == want and len(want) == 50
 
 
 def png(path, rgb):
