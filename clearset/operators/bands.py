@@ -64,7 +64,7 @@ def pairs_within(most: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFra
                 d = _distances(x[at : at + STRIP], y)
                 i, j = np.nonzero((d > 0) & (d <= most))
                 out.append(pd.DataFrame({"ha": a["h"].to_numpy()[at + i], "hb": b["h"].to_numpy()[j], "dist": d[i, j]}))
-        return pd.concat(out) if out else pd.DataFrame({"ha": [], "hb": [], "dist": []})
+        return pd.concat(out) if out else pd.DataFrame({"ha": [], "hb": [], "dist": []}, dtype=object)
 
     return compare
 
@@ -83,7 +83,7 @@ def nearest_other(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             dist = d[np.arange(len(d)), best]
             some = dist < 1 << 20
             out.append(pd.DataFrame({"h": a["h"].to_numpy()[at : at + STRIP][some], "dist": dist[some], "nn": b["first"].to_numpy()[best[some]]}))
-    return pd.concat(out) if out else pd.DataFrame({"h": [], "dist": [], "nn": []})
+    return pd.concat(out) if out else pd.DataFrame({"h": [], "dist": [], "nn": []}, dtype=object)
 
 
 def meet(left: DataFrame, right: DataFrame, light: Callable[[DataFrame, DataFrame], DataFrame], cells: Callable, schema: str, triangle: bool = False) -> DataFrame:

@@ -137,7 +137,7 @@ def best_of_blocks(a: pd.DataFrame, b: pd.DataFrame, k: int, kernel: Kernel, exc
     """(id, nn_id, sim) of the ``k`` best rows of ``b`` for each row of ``a``, ties by the smaller id;
     ``both``: also of the best rows of ``a`` for each row of ``b``, from the same comparison."""
     if not len(a) or not len(b):
-        return pd.DataFrame({"id": [], "nn_id": [], "sim": []})
+        return pd.DataFrame({"id": [], "nn_id": [], "sim": []}, dtype=object)  # ids may be text
     a, b = a.sort_values("id", ignore_index=True), b.sort_values("id", ignore_index=True)
     s = kernel(a, b)
     if exclude_self:
