@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 
 from clearset.storage import checked_broadcast, materialize
 
-#: Nodes of a shard and queries of a block, on average.
-SHARD, QUERY_BLOCK = 8192, 1024
+#: Nodes of a shard and queries of a block, on average.  A shard's index is shuffled once for each block, so
+#: a block is as large as a task can hold: of the bytes that move, the index is less than half.
+SHARD, QUERY_BLOCK = 8192, 16384
 #: Out-edges of a node; beam of the searches that build and of those that answer; relaxation.
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 32, 64, 112, 1.2
 #: Searches that advance together, and nodes each expands in a step.
@@ -200,6 +201,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, shard_size: int = SHARD,
     queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     ready = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    # a partition for each shard and block, whatever the session's number
+    asked, ready = (d.repartition(shards * blocks, "shard", "block") for d in (asked, ready))
 
     def answer(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(g):
