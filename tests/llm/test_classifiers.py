@@ -87,3 +87,33 @@ def test_toxicity_finds_what_was_held_out(spark, data):
     positive = y == 1
     auc = (order[positive].sum() - positive.sum() * (positive.sum() - 1) / 2) / (positive.sum() * (~positive).sum())
     assert auc > 0.8
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    rng = np.random.default_rng(3)
+    clean = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(clean, 60)) + (" badword" if i % 6 == 0 else ""), "en", int(i % 6 == 0)) for i in range(240)]
+    # a word of long texts only, and rows that repeat an id
+    rows += [(1000 + i, " ".join(rng.choice(clean, 36_000)) + (" longword" if i % 2 else ""), "en", i % 2) for i in range(24)]
+    rows += [(2000 + i, " ".join(rng.choice(clean, 20)) + f" copy{k}", "en", 0) for i in range(40) for k in range(2)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    marks = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    kept = docs.where(~held_out(docs["doc_id"]))
+    assert toxicity.labelled(docs, marks).count() == kept.count()
+    twice = docs.unionByName(docs.where("doc_id < 20"))
+    assert toxicity.labelled(twice, marks).count() == kept.count()
+    model, _ = toxicity.train(docs, marks, worker_rows=150)
+    base, bad, long_ = toxicity.probabilities(model, [" ".join(clean[:40]) + end for end in ("", " badword", " longword")])
+    assert base + 0.2 < min(bad, long_)
+    again, _ = toxicity.train(docs.repartition(7), marks.repartition(3), worker_rows=150)
+    assert np.allclose(again.to_rows(), model.to_rows(), atol=1e-2)
+
+
+def test_thresholds_are_those_of_all_rows():
+    rng = np.random.default_rng(5)
+    steps = rng.integers(0, toxicity.CUTS + 1, 400)
+    y = (rng.random(400) < steps / toxicity.CUTS).astype(int)
+    n, hits = np.bincount(steps, minlength=toxicity.CUTS + 1), np.bincount(steps, y, toxicity.CUTS + 1)
+    f1 = lambda cut: 2 * y[steps / toxicity.CUTS >= cut].sum() / ((steps / toxicity.CUTS >= cut).sum() + y.sum())
+    assert f1(toxicity.best_threshold(n, hits)) == max(f1(s / toxicity.CUTS) for s in steps)
+    assert toxicity.best_threshold(n, n * 0) == 0.5
