@@ -237,7 +237,10 @@ def train(docs: DataFrame, text: str = "text", words: DataFrame | None = None, r
         shared = spark.sparkContext.broadcast(m)
         own = docs.select(text, F.monotonically_increasing_id().alias("__at")).where(F.pmod("__at", F.lit(rounds)) == k)
         sums = own.repartition(workers, "__at").select(text).mapInArrow(round_of(shared), schema).groupBy("part", "strip")
-        found = sums.agg(*[(F.sum(w) / F.sum("n")).cast("float").alias(w) for w in values]).toPandas()  # the rows of one model
+        # written, so that the texts and models that this round has shuffled go before the next one
+        sums = materialize(sums.agg(*[(F.sum(w) / F.sum("n")).cast("float").alias(w) for w in values]), "model-rows")
+        found = sums.toPandas()  # the rows of one model
+        release(sums)
         for p, name in enumerate(_PARTS):
             rows = found[found["part"] == p]
             strips = _strips(m[name])

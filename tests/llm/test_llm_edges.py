@@ -460,3 +460,18 @@ def test_columns_named_like_the_results_give_way(spark, messy):
         assert len(rows) == messy.count()
         for name in set(names) & set(out.columns):
             assert all((r[name] == "theirs") == (name not in new.split()) for r in rows), (new, name)
+
+
+def test_rounds_of_training_leave_no_shuffle_files(spark, data):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = [files.apply(i).getName() for i in range(files.size())]
+        return {n for n in names if n.startswith("shuffle_")}
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    words = masked_lm.materialize(masked_lm.vocabulary(docs), "word-counts")
+    masked_lm.class_totals(words)
+    before = shuffled()
+    masked_lm.train(docs, words=words)
+    left = {n.split("_")[1] for n in shuffled() - before}
+    assert len(left) <= 1  # of the totals of the classes; rounds used to leave theirs
