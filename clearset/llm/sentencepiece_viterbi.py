@@ -12,8 +12,10 @@ every word begins with one; texts are then cut there, and each different word of
 through the stream once.  Under other vocabularies whole texts do.
 
 The best sum of scores is what a unigram model asks for.  The scores of a BPE model are ranks
-of merges; its own ids come from merging in that order, which ``search="merges"`` gives: each
-different word of a batch goes through the library's encoder, texts that cannot be cut go whole.
+of merges; its own ids come from merging in that order.  ``search="pairs"`` finds these by the same
+stream: merging gives pieces in a row exactly if it gives each two neighbours of them, so each
+boundary has one last piece, the one that can stand behind the last piece of the boundary
+where it begins.  ``search="merges"`` is the library's encoder, word by word, texts that cannot be cut whole.
 
 Scores are those of the model file: best sum, longest last piece among equal sums.  A
 character without a piece counts ``UNKNOWN_PENALTY`` less than the worst piece and becomes
@@ -30,6 +32,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -61,6 +64,7 @@ class Vocabulary:
     longest: int = field(init=False)
     unknown: float = field(init=False)
     words_apart: bool = field(init=False)
+    merges: Merges | None = field(init=False, default=None)  # made when first asked for
     processor: object = field(init=False, default=None)  # the library's, where the vocabulary comes from a model file
 
     def __post_init__(self) -> None:
@@ -99,6 +103,54 @@ class Vocabulary:
         return out
 
 
+class Merges:
+    """Which pieces merging by the scores puts side by side: best score first, leftmost of equal ones."""
+
+    #: Time at which a piece comes up: that of a character, and of a piece that merging never gives.
+    CHARACTER, NEVER = -1, -2
+
+    def __init__(self, v: Vocabulary):
+        order = sorted(v.ids.items(), key=lambda p: -v.scores[p[1]])
+        times = {p: t for t, (p, _) in enumerate(order)}
+        n = len(v.pieces)
+        self.n, self.time, self.left, self.right = n, np.full(n, self.NEVER), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        keys, at = [], []
+        for piece, i in order:
+            parts = list(piece)
+            while len(parts) > 2:
+                t, k = min((times.get(a + b, len(times)), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+                if t == len(times):
+                    break
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            if len(parts) == 1:
+                self.time[i] = self.CHARACTER
+            elif len(parts) == 2 and all(p in v.ids for p in parts):
+                self.time[i], self.left[i], self.right[i] = times[piece], v.ids[parts[0]], v.ids[parts[1]]
+                keys.append(self.left[i] * n + self.right[i])
+                at.append(times[piece])
+        by_key = np.argsort(keys)
+        self.keys, self.at = np.array([*np.array(keys, np.int64)[by_key], -1], np.int64), np.array([*np.array(at, np.int64)[by_key], n], np.int64)
+
+    def beside(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Whether merging gives ``first`` and ``second`` (ids) of the text of both: going back in time, no
+        two that meet between them would have been merged before what is undone."""
+        out = self.time[second] > self.NEVER
+        at = np.flatnonzero(out)
+        a, b, before = first[at], second[at], np.full(len(at), self.n)
+        while len(at):
+            key = a * self.n + b
+            k = np.searchsorted(self.keys[:-1], key)
+            merged = (self.keys[k] == key) & (self.at[k] < before)
+            out[at[merged]] = False
+            ta, tb = self.time[a], self.time[b]
+            going = ~merged & ((ta >= 0) | (tb >= 0))
+            at, a, b, ta, tb = at[going], a[going], b[going], ta[going], tb[going]
+            later = ta > tb  # of equal pieces the left one comes up first
+            before = np.where(later, ta, tb + 1)
+            a, b = np.where(later, self.right[a], a), np.where(later, b, self.left[b])
+        return out
+
+
 def load_vocabulary(path: str) -> Vocabulary:
     """Pieces and scores of a SentencePiece model file."""
     import sentencepiece
@@ -148,20 +200,27 @@ class StreamingViterbi:
             hashes ^= hashes >> np.uint64(29)
             first = max(0, before + 1 - k)  # earlier ones end before these characters
             ids[:, first + k - 1 - before :, window - k] = v.find(hashes[:, first:])
+        choice = self.choose(ids)
+        piece = np.take_along_axis(ids, choice[:, :, None], axis=2)[:, :, 0]
+        self.length = np.concatenate([self.length, window - choice], axis=1)
+        self.piece = np.concatenate([self.piece, np.where(piece < 0, -1 - codes.astype(np.int64), piece).astype(np.int32)], axis=1)
+        self.tail, self.end = chars[:, max(0, chars.shape[1] - window + 1) :], self.end + size
+        self.most_kept = max(self.most_kept, self.length.shape[1])
+
+    def choose(self, ids: np.ndarray) -> np.ndarray:
+        """Places of the last pieces of the next boundaries among ``ids``, those of the best sums of scores."""
+        n, size, window = ids.shape
         gain = self.scores[ids]
         alone = gain[:, :, -1]
-        alone[ids[:, :, -1] < 0] = v.unknown
+        alone[ids[:, :, -1] < 0] = self.v.unknown
         best = np.concatenate([self.best, np.empty((n, size))], axis=1)
         choice, rows = np.empty((n, size), np.int64), np.arange(n)
         for t in range(size):
             reached = best[:, t : t + window] + gain[:, t]
             choice[:, t] = reached.argmax(axis=1)
             best[:, window + t] = reached[rows, choice[:, t]]
-        piece = np.take_along_axis(ids, choice[:, :, None], axis=2)[:, :, 0]
-        self.length = np.concatenate([self.length, window - choice], axis=1)
-        self.piece = np.concatenate([self.piece, np.where(piece < 0, -1 - codes.astype(np.int64), piece).astype(np.int32)], axis=1)
-        self.best, self.tail, self.end = best[:, size:], chars[:, max(0, chars.shape[1] - window + 1) :], self.end + size
-        self.most_kept = max(self.most_kept, self.length.shape[1])
+        self.best = best[:, size:]
+        return choice
 
     def commit(self) -> None:
         """Emit the ids of each text up to the boundary that all its paths in the window lead
@@ -228,6 +287,37 @@ class StreamingViterbi:
         return self.result(1)[0].tolist()
 
 
+class PairedViterbi(StreamingViterbi):
+    """The same over pairs: ``best`` holds the last piece of each boundary, FREE at the start and behind a
+    character without a piece, where any piece can stand, OUT before the start."""
+
+    FREE, OUT = -1, -2
+
+    def __init__(self, vocabulary: Vocabulary, lanes: int = 1):
+        super().__init__(vocabulary, lanes)
+        if vocabulary.merges is None:
+            vocabulary.merges = Merges(vocabulary)
+        self.best = np.full((lanes, vocabulary.longest), self.OUT)
+        self.best[:, -1] = self.FREE
+
+    def choose(self, ids: np.ndarray) -> np.ndarray:
+        """Places of the one last piece of each next boundary that can stand behind the one before it."""
+        n, size, window = ids.shape
+        last = np.concatenate([self.best, np.empty((n, size), np.int64)], axis=1)
+        choice, rows = np.full((n, size), window - 1), np.arange(n)
+        merges = self.v.merges
+        for t in range(size):
+            r, j = np.nonzero(ids[:, t] >= 0)
+            before, own = last[r, t + j], ids[r, t, j].astype(np.int64)
+            fits = (before == self.FREE) & (merges.time[own] > merges.NEVER)
+            both = np.flatnonzero(before >= 0)
+            fits[both] = merges.beside(before[both], own[both])
+            choice[r[fits], t] = j[fits]
+            last[:, window + t] = ids[rows, t, choice[:, t]]  # -1, a character without a piece, is FREE
+        self.best = last[:, size:]
+        return choice
+
+
 def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -244,11 +334,11 @@ def stream(v: Vocabulary, escaped: str) -> list[int]:
     return s.finish()
 
 
-def side_by_side(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def side_by_side(v: Vocabulary, words: list[str], kind: type[StreamingViterbi] = StreamingViterbi) -> tuple[np.ndarray, np.ndarray]:
     """One stream over words of any lengths, a lane each.  (ids, ids of each word)."""
     codes, ends = codes_of("".join(words)), np.fromiter(map(len, words), np.int64, len(words))
     begin = np.cumsum(ends) - ends
-    s = StreamingViterbi(v, len(words))
+    s = kind(v, len(words))
     s.close(ends)  # empty ones
     while len(s.lane):
         own = ends[s.lane]
@@ -260,14 +350,14 @@ def side_by_side(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
     return s.result(len(words))
 
 
-def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def encode_words(v: Vocabulary, words: list[str], kind: type[StreamingViterbi] = StreamingViterbi) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, where those of each word begin, and how many they are)."""
     begin, lens = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     flat, n = [np.zeros(0, np.int32)], 0
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")
     for a in range(0, len(order), LANES):  # words of about one length; what numpy works on stays small
         part = order[a : a + LANES]
-        ids, counts = side_by_side(v, [words[i] for i in part])
+        ids, counts = side_by_side(v, [words[i] for i in part], kind)
         flat.append(ids)
         begin[part], lens[part] = n + np.cumsum(counts) - counts, counts
         n += len(ids)
@@ -275,7 +365,7 @@ def encode_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarra
 
 
 def merge_words(v: Vocabulary, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same for the model's own ids; the library puts a mark before each word itself, but
+    """The same by the library's encoder; the library puts a mark before each word itself, but
     none before an empty one."""
     own = v.processor.encode([w[1:] for w in words], num_threads=1)
     alone = [v.ids[MARK]] if MARK in v.ids else unknown_ids(v, MARK)
@@ -298,7 +388,7 @@ def split_marks(escaped: str) -> list[str]:
     return out + [marks] if marks else out
 
 
-SEARCHES = {"scores": encode_words, "merges": merge_words}
+SEARCHES = {"scores": encode_words, "pairs": partial(encode_words, kind=PairedViterbi), "merges": merge_words}
 
 
 def encode_batch(v: Vocabulary, texts: list[str], *searches: str) -> list[np.ndarray]:
@@ -360,8 +450,8 @@ def batches_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores", also: str | None = None) -> DataFrame:
     """``docs`` with piece_ids and, with ``verify``, round_trip: whether they decode to the text.
-    ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum)
-    or "merges" (the ids of the library); ``also`` adds the columns of a second one, in the same
+    ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum),
+    "pairs" (the model's own ids, by the stream) or "merges" (the same by the library); ``also`` adds the columns of a second one, in the same
     pass, with its name in front.  Encoding and decoding share a task; batches are cut into
     pieces, so that a worker holds a few megabytes at a time."""
     small_batches(docs.sparkSession)

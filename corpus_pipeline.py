@@ -98,12 +98,12 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of what is left, as the model's library gives them, with a check that they
-    decode to the text.  A null or empty text has none; repeated rows are encoded each."""
+    """Piece ids of what is left, the model's own, found by the streaming search over pairs of pieces, with a
+    check that they decode to the text.  A null or empty text has none; repeated rows are encoded each."""
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = sentencepiece_viterbi.encode(docs.select("doc_id", "lang", "source", "text"), path, search="merges")
+    coded = sentencepiece_viterbi.encode(docs.select("doc_id", "lang", "source", "text"), path, search="pairs")
     return coded.select("doc_id", "lang", "source", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip")
 
 

@@ -68,6 +68,28 @@ def test_piece_ids_are_those_of_the_library(spark, data):
     assert all(r["piece_ids"] == whole.encode(texts[r["doc_id"]]) for r in corpus_pipeline.sentencepiece(spark, docs, data).collect())
 
 
+def test_piece_ids_come_from_the_stream(spark, data, monkeypatch):
+    from clearset.llm import sentencepiece_viterbi as spv
+    import public_tokenizers
+
+    v = spv.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["aaaaaaaaaaaa  two  spaces ", "a\nline\tand a tab\r\n", "日本 \u2581mark 🙂🙂 naïve", "x" * 100, " ", "\u2581", "", "unbelievablenesses " * 9]
+    texts += [r["text"] for r in spark.read.parquet(f"{data}/documents.parquet").limit(60).collect()]
+    found, want = spv.encode_batch(v, texts, "pairs"), spv.encode_batch(v, texts, "merges")
+    assert all((a == b).all() for a, b in zip(found, want))
+    monkeypatch.setattr(v, "words_apart", False)  # whole texts, with commits
+    whole = spv.encode_batch(v, texts[:20], "pairs")
+    assert (whole[1] == want[1][:20]).all() and (whole[0] == want[0][: len(whole[0])]).all()
+    stream = spv.PairedViterbi(v)
+    stream.feed(spv.MARK + "someverylongword" * 500)
+    assert stream.most_kept < 1000 and stream.finish() == spv.merge_words(v, [spv.MARK + "someverylongword" * 500])[0].tolist()
+    docs = spark.read.parquet(f"{data}/documents.parquet").limit(5)
+    got = {}
+    monkeypatch.setattr(spv, "encode", lambda *a, **k: got.update(k) or docs.selectExpr("doc_id", "lang", "source", "array(1) AS piece_ids", "true AS round_trip"))
+    corpus_pipeline.sentencepiece(spark, docs, data)
+    assert got["search"] == "pairs"
+
+
 def test_near_duplicates_go_by_row(spark, data):
     a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
     rows = [(1, a), (3, a + " end"), (3, "a clean text under an id that repeats"), (3, b), (7, b), (3, b + " end"), (5, c), (5, c), (5, c), (None, "text without any id at all"), (None, "text without any id at all"), (None, a), (9, None), (9, "")]
