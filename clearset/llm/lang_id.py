@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearset.llm.text import held_out, small_batches
+from clearset.llm.text import give_back, held_out, small_batches
 
 UNKNOWN = "und"
 NGRAMS = (1, 2, 3)
@@ -130,6 +130,7 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, text: str = "te
     names = np.array([*langs, UNKNOWN], dtype=object)
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        give_back()
         matrix, prior = model.value[:-1], model.value[-1]
         for column in batches:
             texts = [t if isinstance(t, str) else "" for t in column]
@@ -142,6 +143,7 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray, text: str = "te
                 best[own] = sums.argmax(axis=1)
                 p[own] = 1 / np.exp(sums).sum(axis=1)
             yield pd.DataFrame({"lang": names[best], "score": p})
+        give_back()
 
     scored = F.pandas_udf(score, "lang string, score double")(F.col(text))
     out = docs.withColumn("__lang", scored)

@@ -130,6 +130,7 @@ def shingle_classes(docs: DataFrame, frequent: DataFrame, percent: int, words: i
                     ],
                     ["doc_id", "rk", "n", "v", "prefix"],
                 )
+        give_back()
 
     return docs.select("doc_id", "rk", "text").mapInArrow(build, "doc_id long, rk long, n long, v long, prefix array<long>")
 
@@ -153,6 +154,7 @@ def segments(docs: DataFrame, words: int) -> DataFrame:
                     ],
                     ["v", "fragment", "shingles"],
                 )
+        give_back()
 
     return docs.select("v", "text").mapInArrow(cut, "v long, fragment int, shingles array<long>")
 

@@ -49,7 +49,7 @@ UNKNOWN_PENALTY = 10.0
 LANES = 1024
 #: Stands behind the end of a text; no character has this code.
 NONE = np.uint32(0x110000)
-PIECE_CHARS = 1 << 21
+PIECE_CHARS = 1 << 20
 _MIX, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1F83D9ABFB41BD6B)
 
 
@@ -484,6 +484,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
                     if verify:
                         new.append(pa.array([decoder.decode(ids[x:y]) == t for x, y, t in zip(edge[:-1], edge[1:], texts)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in given), *new], [*kept, *added])
+        give_back()
 
     return docs.select(*kept).mapInArrow(run, ", ".join(fields))
 

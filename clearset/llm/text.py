@@ -24,12 +24,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+#: Bytes that a Python worker may hold free in a block, and glibc's names for the two bounds; without them
+#: glibc raises both to the largest block that was freed.
+KEPT, _M_TRIM_THRESHOLD, _M_MMAP_THRESHOLD = 4 << 20, -1, -3
+
+
 def give_back() -> None:
     """Return to the system what this Python worker holds free.  Spark keeps workers from one task to the
-    next, beside the executor's heap; called where a task begins, this drops what those before it took."""
+    next, beside the executor's heap; called where a task begins and where it ends, this drops what it and
+    those before it took.  Blocks of more than KEPT bytes go back as soon as they are freed."""
     pa.default_memory_pool().release_unused()
     libc = ctypes.CDLL(None)
     if hasattr(libc, "malloc_trim"):  # glibc only
+        libc.mallopt(_M_TRIM_THRESHOLD, KEPT)
+        libc.mallopt(_M_MMAP_THRESHOLD, KEPT)
         libc.malloc_trim(0)
 
 

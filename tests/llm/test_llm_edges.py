@@ -475,3 +475,21 @@ def test_rounds_of_training_leave_no_shuffle_files(spark, data):
     masked_lm.train(docs, words=words)
     left = {n.split("_")[1] for n in shuffled() - before}
     assert len(left) <= 1  # of the totals of the classes; rounds used to leave theirs
+
+
+def test_workers_give_large_blocks_back():
+    import resource
+
+    from clearset.llm.text import give_back
+
+    def resident():
+        return int(open("/proc/self/statm").read().split()[1]) * resource.getpagesize()
+
+    give_back()
+    before = resident()
+    for _ in range(3):  # freeing a block of this size would raise glibc's bounds to it
+        np.ones(24 << 20, np.uint8)
+    kept = [np.ones(16 << 20, np.uint8) for _ in range(8)]
+    last = bytearray(b"x" * 100_000)
+    del kept
+    assert resident() - before < 24 << 20 and last
