@@ -30,10 +30,11 @@ round_trip give way to the operator's own.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import partial
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,8 @@ LANES = 1024
 #: Stands behind the end of a text; no character has this code.
 NONE = np.uint32(0x110000)
 PIECE_CHARS = 1 << 20
+#: Characters of different words that op9 keeps, with their ids, from one batch of a task to the next.
+KNOWN_CHARS = 1 << 22
 _MIX, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x1F83D9ABFB41BD6B)
 
 
@@ -81,7 +84,8 @@ class Vocabulary:
         self.keys, self.key_ids = keys[order], np.array([self.ids[names[i]] for i in order], np.int32)
         # first place of each 20-bit beginning, so that a lookup needs a few steps only
         self.index = np.searchsorted(self.keys, np.arange(1 << 20, dtype=np.uint64) << np.uint64(44)).astype(np.int32)
-        self.steps = int(np.bincount((self.keys >> np.uint64(44)).astype(np.int64)).max()) if len(keys) else 0
+        held = np.bincount((self.keys >> np.uint64(44)).astype(np.int64), minlength=1 << 20)
+        self.steps, self.held = int(held.max()), held > 0
 
     @staticmethod
     def hash_of(piece: str) -> int:
@@ -93,14 +97,16 @@ class Vocabulary:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of the pieces with these hashes, -1 for none."""
-        out = np.full(hashes.shape, -1, np.int32)
-        if not len(self.keys):
-            return out
-        at = self.index[(hashes >> np.uint64(44)).astype(np.int64)]
+        out = np.full(hashes.size, -1, np.int32)
+        hashes, shape = hashes.ravel(), hashes.shape
+        beginning = (hashes >> np.uint64(44)).astype(np.int64)
+        some = np.flatnonzero(self.held[beginning])  # most beginnings are those of no piece
+        own, at = hashes[some], self.index[beginning[some]]
         for j in range(self.steps):
             k = np.minimum(at + j, len(self.keys) - 1)
-            np.copyto(out, self.key_ids[k], where=self.keys[k] == hashes)
-        return out
+            hit = self.keys[k] == own
+            out[some[hit]] = self.key_ids[k[hit]]
+        return out.reshape(shape)
 
 
 class Merges:
@@ -189,13 +195,14 @@ class StreamingViterbi:
     def step(self, codes: np.ndarray) -> None:
         """Move over the next characters (lanes x characters)."""
         v, (n, size) = self.v, codes.shape
-        window, before = v.longest, self.tail.shape[1]
+        before = self.tail.shape[1]
         chars = np.concatenate([self.tail, codes], axis=1)
+        window = min(v.longest, chars.shape[1])  # no piece is longer than what is there
         wide = chars.astype(np.uint64)
         # pieces by their end and length; longer ones first: they win ties
         ids = np.full((n, size, window), -1, np.int32)
         hashes = np.full(chars.shape, _SEED)
-        for k in range(1, min(window, chars.shape[1]) + 1):
+        for k in range(1, window + 1):
             hashes = (hashes[:, : chars.shape[1] - k + 1] ^ wide[:, k - 1 :]) * _MIX + np.uint64(1)
             hashes ^= hashes >> np.uint64(29)
             first = max(0, before + 1 - k)  # earlier ones end before these characters
@@ -204,7 +211,7 @@ class StreamingViterbi:
         piece = np.take_along_axis(ids, choice[:, :, None], axis=2)[:, :, 0]
         self.length = np.concatenate([self.length, window - choice], axis=1)
         self.piece = np.concatenate([self.piece, np.where(piece < 0, -1 - codes.astype(np.int64), piece).astype(np.int32)], axis=1)
-        self.tail, self.end = chars[:, max(0, chars.shape[1] - window + 1) :], self.end + size
+        self.tail, self.end = chars[:, max(0, chars.shape[1] - v.longest + 1) :], self.end + size
         self.most_kept = max(self.most_kept, self.length.shape[1])
 
     def choose(self, ids: np.ndarray) -> np.ndarray:
@@ -214,11 +221,11 @@ class StreamingViterbi:
         alone = gain[:, :, -1]
         alone[ids[:, :, -1] < 0] = self.v.unknown
         best = np.concatenate([self.best, np.empty((n, size))], axis=1)
-        choice, rows = np.empty((n, size), np.int64), np.arange(n)
+        choice, rows, longest = np.empty((n, size), np.int64), np.arange(n), self.v.longest
         for t in range(size):
-            reached = best[:, t : t + window] + gain[:, t]
+            reached = best[:, longest + t - window : longest + t] + gain[:, t]
             choice[:, t] = reached.argmax(axis=1)
-            best[:, window + t] = reached[rows, choice[:, t]]
+            best[:, longest + t] = reached[rows, choice[:, t]]
         self.best = best[:, size:]
         return choice
 
@@ -305,15 +312,15 @@ class PairedViterbi(StreamingViterbi):
         n, size, window = ids.shape
         last = np.concatenate([self.best, np.empty((n, size), np.int64)], axis=1)
         choice, rows = np.full((n, size), window - 1), np.arange(n)
-        merges = self.v.merges
+        merges, longest = self.v.merges, self.v.longest
         for t in range(size):
             r, j = np.nonzero(ids[:, t] >= 0)
-            before, own = last[r, t + j], ids[r, t, j].astype(np.int64)
+            before, own = last[r, longest + t - window + j], ids[r, t, j].astype(np.int64)
             fits = (before == self.FREE) & (merges.time[own] > merges.NEVER)
             both = np.flatnonzero(before >= 0)
             fits[both] = merges.beside(before[both], own[both])
             choice[r[fits], t] = j[fits]
-            last[:, window + t] = ids[rows, t, choice[:, t]]  # -1, a character without a piece, is FREE
+            last[:, longest + t] = ids[rows, t, choice[:, t]]  # -1, a character without a piece, is FREE
         self.best = last[:, size:]
         return choice
 
@@ -391,9 +398,42 @@ def split_marks(escaped: str) -> list[str]:
 SEARCHES = {"scores": encode_words, "pairs": partial(encode_words, kind=PairedViterbi), "merges": merge_words}
 
 
-def encode_batch(v: Vocabulary, texts: list[str], *searches: str) -> list[np.ndarray]:
-    """For each search, "scores" if none is named: ids of all texts, ids of each text."""
+class KnownWords:
+    """Different words with their ids by each search.  A word is searched when it is first met; the table is
+    begun anew once it holds more than ``most`` characters."""
+
+    def __init__(self, v: Vocabulary, searches: Sequence[str], most: int = 0):
+        self.v, self.searches, self.most = v, searches, most
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.names: dict[str, int] = defaultdict(count().__next__)
+        self.chars = 0
+        # by search: ids, where those of each word begin, and how many they are
+        self.coded = [(none.astype(np.int32), none, none) for _ in self.searches]
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The place of each word in the table."""
+        if self.chars > self.most:
+            self.forget()
+        before = len(self.names)
+        out = np.fromiter(map(self.names.__getitem__, words), np.int64, len(words))
+        new = list(islice(self.names, before, None))
+        if new:
+            self.chars += sum(map(len, new))
+            for k, search in enumerate(self.searches):
+                flat, begin, lens = self.coded[k]
+                ids, at, n = SEARCHES[search](self.v, new)
+                self.coded[k] = np.concatenate([flat, ids]), np.concatenate([begin, at + len(flat)]), np.concatenate([lens, n])
+        return out
+
+
+def encode_batch(v: Vocabulary, texts: list[str], *searches: str, known: KnownWords | None = None) -> list[np.ndarray]:
+    """For each search, "scores" if none is named: ids of all texts, ids of each text.  ``known``: words
+    of earlier batches, by the same searches."""
     searches = searches or ("scores",)
+    known = known or KnownWords(v, searches)
     words: list[str] = []
     sizes = np.zeros(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -404,12 +444,9 @@ def encode_batch(v: Vocabulary, texts: list[str], *searches: str) -> list[np.nda
             words += own
     if not words:
         return [np.zeros(0, np.int32), sizes] * len(searches)
-    names = dict.fromkeys(words)
-    names.update(zip(names, range(len(names))))
-    code = np.fromiter(map(names.__getitem__, words), np.int64, len(words))
+    code = known.numbers(words)
     edge, out = np.r_[0, np.cumsum(sizes)], []
-    for search in searches:
-        flat, begin, lens = SEARCHES[search](v, list(names))
+    for flat, begin, lens in known.coded:
         n = lens[code]
         before = np.r_[0, np.cumsum(n)]
         out += [flat[np.repeat(begin[code] - before[:-1], n) + np.arange(n.sum())], before[edge[1:]] - before[edge[:-1]]]
@@ -418,13 +455,18 @@ def encode_batch(v: Vocabulary, texts: list[str], *searches: str) -> list[np.nda
 
 class Decoder:
     def __init__(self, v: Vocabulary):
-        self.bytes_of = [p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p in v.pieces]
+        bytes_of = [p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p in v.pieces]
         if v.byte_ids is not None:
             for b, i in enumerate(v.byte_ids):
-                self.bytes_of[i] = bytes([b])
+                bytes_of[i] = bytes([b])
+        self.flat = np.frombuffer(b"".join(bytes_of), np.uint8)
+        self.size = np.fromiter(map(len, bytes_of), np.int64, len(bytes_of))
+        self.begin = np.cumsum(self.size) - self.size
 
     def decode(self, ids: np.ndarray) -> str:
-        text = b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
+        n = self.size[ids]
+        at = np.repeat(self.begin[ids] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        text = self.flat[at].tobytes().decode("utf-8", "surrogatepass")
         return text[1:] if text[:1] == " " else text  # the mark put before the text
 
 
@@ -448,12 +490,13 @@ def batches_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
             first, n = i + 1, 0
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores", also: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool = True, digest: bool = False, search: str = "scores", also: str | None = None, known_chars: int = 0) -> DataFrame:
     """``docs`` with piece_ids and, with ``verify``, round_trip: whether they decode to the text.
     ``digest`` gives n_pieces and ids_crc32 in place of the ids.  ``search``: "scores" (best sum),
     "pairs" (the model's own ids, by the stream) or "merges" (the same by the library); ``also`` adds the columns of a second one, in the same
     pass, with its name in front.  Encoding and decoding share a task; batches are cut into
-    pieces, so that a worker holds a few megabytes at a time."""
+    pieces, so that a worker holds a few megabytes at a time, and beside them different words of up to
+    about ``known_chars`` characters with their ids, which are not searched again."""
     small_batches(docs.sparkSession)
     searches = [search, also] if also else [search]
     kinds = {"n_pieces": "long", "ids_crc32": "long"} if digest else {"piece_ids": "array<int>"}
@@ -466,13 +509,13 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
         v = vocabulary(model_path)
-        decoder = Decoder(v)
+        decoder, known = Decoder(v), KnownWords(v, searches, known_chars) if known_chars else None
         for batch in batches:
             column = batch.column(batch.schema.names.index(text))
             given = [c for c, name in zip(batch.columns, batch.schema.names) if name in kept]
             for a, b in batches_of(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)):
                 texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                coded, new = encode_batch(v, texts, *searches), []
+                coded, new = encode_batch(v, texts, *searches, known=known), []
                 for ids, counts in zip(coded[::2], coded[1::2]):
                     edge = np.r_[0, np.cumsum(counts)]
                     if digest:
@@ -484,6 +527,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", verify: bool =
                     if verify:
                         new.append(pa.array([decoder.decode(ids[x:y]) == t for x, y, t in zip(edge[:-1], edge[1:], texts)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in given), *new], [*kept, *added])
+        known = None
         give_back()
 
     return docs.select(*kept).mapInArrow(run, ", ".join(fields))
@@ -507,6 +551,6 @@ def op9_sentencepiece(spark, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = encode(docs, path, digest=True, also="merges")
+    coded = encode(docs, path, digest=True, also="merges", known_chars=KNOWN_CHARS)
     named = coded.withColumnsRenamed({f"merges_{c}": f"model_{c}" for c in ("n_pieces", "ids_crc32", "round_trip")})
     return named.select("doc_id", "n_pieces", "ids_crc32", "round_trip", "model_n_pieces", "model_ids_crc32", "model_round_trip")

@@ -329,6 +329,26 @@ def test_two_searches_in_one_pass(messy):
         assert sorted((str(r["doc_id"]), r["n_pieces"], r["ids_crc32"]) for r in alone.collect()) == sorted((str(r["doc_id"]), r[front + "n_pieces"], r[front + "ids_crc32"]) for r in got)
 
 
+def test_words_of_a_task_are_searched_once(spark, monkeypatch):
+    v = spv.load_vocabulary(PIECES)
+    batches = [["the quick brown", "the  end", ""], ["the quick end 日本", "brown\nfox"], [""], ["x " * 30 + "the", "fox the"]]
+    own = {k: [] for k in ("scores", "merges")}
+    monkeypatch.setattr(spv, "SEARCHES", {k: lambda v, words, k=k, f=f: own[k].append(words) or f(v, words) for k, f in spv.SEARCHES.items() if k in own})
+    want = [spv.encode_batch(v, b, *own) for b in batches]
+    for most, once in ((1000, True), (0, False), (10, False)):
+        own["scores"].clear(), own["merges"].clear()
+        known = spv.KnownWords(v, list(own), most)
+        for b, w in zip(batches, want):
+            assert all(np.array_equal(x, y) for x, y in zip(spv.encode_batch(v, b, *own, known=known), w, strict=True))
+        for words in own.values():
+            met = [w for part in words for w in part]
+            assert (len(met) == len(set(met))) == once
+    asked, docs = {}, spark.sql("SELECT 1L AS doc_id, 'a' AS text, 1 AS n_pieces, 1 AS ids_crc32, true AS round_trip, 1 AS merges_n_pieces, 1 AS merges_ids_crc32, true AS merges_round_trip")
+    monkeypatch.setattr(spv, "encode", lambda *a, **k: asked.update(k) or docs)
+    spv.op9_sentencepiece(spark, "/root/testdata/sf0.001")
+    assert asked["known_chars"] == spv.KNOWN_CHARS > 0 and asked["also"] == "merges"
+
+
 def test_sentencepiece_columns(messy, empty):
     coded = spv.encode(messy, PIECES)
     assert coded.count() == 11 and coded.where("NOT round_trip").count() == 0
