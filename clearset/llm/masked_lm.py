@@ -83,15 +83,15 @@ def _odds(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def forward(m: dict[str, np.ndarray], rows: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
-    h = m["embed"][rows[0]]
+    h = m["embed"].take(rows[0], axis=0)
     for r in rows[1:]:
-        h += m["embed"][r]
+        h += m["embed"].take(r, axis=0)
     np.tanh(h, out=h)
     z = h @ m["high"].T
     z += m["high_bias"].T
-    h2 = h + m["given"][high]
+    h2 = h + m["given"].take(high, axis=0)
     z2 = h2 @ m["low"].T
-    z2 += m["low_bias"][high]
+    z2 += m["low_bias"].take(high, axis=0)
     return h, h2, *_odds(z), *_odds(z2)
 
 
@@ -124,23 +124,26 @@ def step(m: dict[str, np.ndarray], moved: dict[str, np.ndarray], ids: np.ndarray
     m["low"] -= scale * (d2.T @ h2)
     m["high_bias"] -= scale * d1.sum(axis=0)[:, None]
     # each row moves by the sum of its gradients over the root of their number
-    own = (high == np.arange(SIDE)[:, None]).astype(np.float32)
-    n = own.sum(axis=1)
+    own = np.zeros((SIDE, len(at)), np.float32)
+    own[high, i] = 1
+    n = np.bincount(high, minlength=SIDE).astype(np.float32)
     pace = (rate / np.sqrt(np.maximum(n, 1)))[:, None]
     m["given"] -= pace * (own @ back2)
     m["low_bias"] -= pace * (own @ d2)
     for name in ("given", "low_bias"):
         moved[name] += n.astype(np.int64)
     flat = rows.ravel()
-    order = np.argsort(flat.astype(np.int16), kind="stable")  # places of a row side by side
-    sorted_ = flat[order]
-    heads = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-    n = np.diff(heads, append=len(flat))
-    upto = np.cumsum(back[order % len(at)], axis=0, dtype=np.float64)[heads + n - 1]
-    total = np.diff(upto, axis=0, prepend=0)
-    total *= (rate / np.sqrt(n))[:, None]
-    m["embed"][sorted_[heads]] -= total.astype(np.float32)
-    moved["embed"][sorted_[heads]] += n
+    seen = np.zeros(len(m["embed"]), bool)
+    seen[flat] = True
+    live, place = np.flatnonzero(seen), (np.cumsum(seen) - 1)[flat]  # the different rows, and which of them each place has
+    n = np.bincount(place)
+    # one sum a column, in doubles, over the places of all window positions
+    total = np.stack([np.bincount(place, weights) for weights in np.tile(back.T.astype(np.float64), len(WINDOW))])
+    total *= rate / np.sqrt(n)
+    embed = m["embed"].take(live, axis=0)
+    embed -= total.T.astype(np.float32)
+    m["embed"][live] = embed
+    moved["embed"][live] += n
     for name in ("high", "low", "high_bias"):
         moved[name] += len(at)
 
