@@ -63,7 +63,7 @@ def _sums(rows: DataFrame, models: list[Model], folds: list[int], balance: list[
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[int, np.ndarray] = {}
-        for pdf in batches:
+        for pdf in filter(len, batches):
             x, y, fold = np.stack(pdf["vec"]).astype(float), pdf["label"].to_numpy(float), pdf["fold"].to_numpy()
             for k, (m, f, b) in enumerate(zip(*shared.value)):
                 own = fold != f
@@ -75,7 +75,8 @@ def _sums(rows: DataFrame, models: list[Model], folds: list[int], balance: list[
                 hessian = (z * (w * p * (1 - p))[:, None]).T @ z
                 sums = np.r_[loss, z.T @ (w * (p - y[own])), hessian[np.triu_indices(len(m.beta))]]
                 total[k] = total.get(k, 0) + sums
-        yield pd.DataFrame({"model": list(total), "part": TaskContext.get().partitionId() // FAN_IN, "sums": list(total.values())})
+        if total:  # a task without rows adds nothing
+            yield pd.DataFrame({"model": list(total), "part": TaskContext.get().partitionId() // FAN_IN, "sums": list(total.values())})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"model": pdf["model"].iloc[:1], "part": 0, "sums": [np.sum(np.stack(pdf["sums"]), axis=0)]})
@@ -177,6 +178,7 @@ def in_sample(df: DataFrame, c: float = 1.0) -> DataFrame:
     """(id, mislabel_score): a baseline that scores the rows it was fitted on by the probability
     of the other label."""
     d = df.select("id", "vec", F.col("label").cast("int").alias("label"), F.lit(1.0).alias("weight"), F.lit(-1).alias("fold"))
+    d = materialize(d, "in-sample-rows")
     model = fit(d, [0], c)
     p = _predict(d.withColumn("fold", F.lit(0)), model)
     return d.join(p, "id").select("id", scores.mislabel_gap(F.col("p"), F.col("label")).alias("mislabel_score"))

@@ -62,3 +62,10 @@ def test_one_label_and_nothing(rows):
     assert np.isfinite(mislabel.fit(apart, [0, 1], 100.0)[0].beta).all()
     found = mislabel.in_sample(rows)
     assert found.count() == 300 and 0 <= found.agg(F.min("mislabel_score")).first()[0]
+
+
+def test_tasks_without_rows_add_nothing(rows):
+    # 200 rows by a key of two values in twelve partitions: ten tasks have none
+    few = rows.where("id < 200").repartition(12, F.col("id") % 2)
+    assert np.allclose(mislabel.fit(few, [0], 0.1)[0].beta, mislabel.fit(few.coalesce(1), [0], 0.1)[0].beta, atol=1e-8)
+    assert mislabel.in_sample(few).count() == 200
