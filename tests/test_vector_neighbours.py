@@ -122,3 +122,35 @@ def test_approximate_scores_of_whole_jobs(spark):
     e = outliers.rank_average_score(df).toPandas().set_index("id")["ood_score"]
     assert np.corrcoef(a.sort_index(), e.sort_index())[0, 1] > 0.98
     assert outliers.local_outlier_factor(df, 5, approximate=True).count() == 400
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_blocks_are_not_shuffled_once_for_each_block_they_meet(spark):
+    x = np.random.default_rng(8).normal(size=(600, 64))
+    df = frame(spark, x)
+    once = x.nbytes
+    for other in (df, df.select("id", "vec")):
+        before = shuffled(spark)
+        got = lists(similarity.nearest(df, other, 2, similarity.euclidean, block_rows=20))  # thirty blocks
+        assert shuffled(spark) - before < 6 * once
+        d = ((x[:, None] - x[None]) ** 2).sum(2)
+        np.fill_diagonal(d, np.inf)
+        assert {i: [j for j, _ in v] for i, v in got.items()} == {i: np.argsort(d[i], kind="stable")[:2].tolist() for i in range(600)}
+
+
+def test_ties_and_copies_keep_the_smallest_ids(spark):
+    x = np.repeat(np.eye(4), 60, axis=0)  # sixty copies of each of four vectors
+    names = [f"n{i:03d}" for i in np.random.default_rng(1).permutation(240)]
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in zip(names, x)], "id string, vec array<double>").repartition(3)
+    got = lists(similarity.nearest(df, df, 3, similarity.euclidean, block_rows=50))
+    for first in range(0, 240, 60):
+        own = sorted(names[first : first + 60])
+        for n in own:
+            assert got[n] == [(m, 0.0) for m in own if m != n][:3]
