@@ -114,3 +114,34 @@ def test_a_hundred_thousand_hashes_under_one_band_key(spark):
     finally:
         similarity.pairs_within = plain
     assert seen.value > 200 and sizes[1] >= twins.join(df, twins["hash"].bitwiseXOR(F.lit(1)) == df["hash"]).select(twins["hash"]).distinct().count()
+
+
+def test_common_bands_and_many_keys_take_no_rounds(spark, monkeypatch):
+    rng = random.Random(4)
+    words = lambda common: [signed(rng.getrandbits(64)) if not common else signed(1 << rng.randrange(64)) for _ in range(4)]
+    make = lambda rows: spark.createDataFrame([(i, h) for i, h in enumerate(rows)], "first long, h array<long>")
+    apart, flat = make([words(False) for _ in range(300)]), [words(True) for _ in range(300)]
+    assert hash_neighbours.search_rounds(apart, 256, width=13) == 2  # a third one would take 1,512 keys a hash
+    assert hash_neighbours.search_rounds(apart, 256, width=4) == 3
+    monkeypatch.setattr(hash_neighbours, "HEAVY", 1)
+    assert hash_neighbours.search_rounds(make(flat), 256) == 0
+    rows = list(enumerate(flat))
+    df = spark.createDataFrame(rows, "id long, hash array<long>")
+    assert found(hash_neighbours.nearest_hash(df, df, bits=256)) == wanted(rows, rows)
+
+
+def test_exploded_hashes_are_not_broadcast(spark):
+    rng = random.Random(5)
+    hashes = spark.createDataFrame([(signed(rng.getrandbits(64)), i) for i in range(200)], "h long, first long")
+    seen = []
+
+    def watched(left, right, light, *rest, **named):
+        seen.append(light(left, right)._jdf.queryExecution().executedPlan().toString())
+        return meet(left, right, light, *rest, **named)
+
+    meet, hash_neighbours.meet = hash_neighbours.meet, watched
+    try:
+        hash_neighbours.by_radius(hashes.select("h"), hashes, 64)
+    finally:
+        hash_neighbours.meet = meet
+    assert seen and not any("BroadcastHashJoin" in plan for plan in seen)
