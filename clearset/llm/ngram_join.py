@@ -9,7 +9,8 @@ overlaps are counted fragment by fragment, and the sums per pair decide.
 
 * Sets that are equal are one class; only classes are compared.  Pairs whose sizes alone rule
   the similarity out are never formed.
-* Prefix shingles that few classes hold give their pairs directly.
+* Prefix shingles that few classes hold, no more than a frequent shingle has to exceed, give their
+  pairs directly.
 * Classes with a prefix shingle that many hold consist of little but frequent shingles.  All of
   their shingles are counted among them, and they get a second prefix, of their rarest ones.
 * Second-prefix shingles that many classes still hold (groups of near copies) would give pairs
@@ -47,10 +48,11 @@ from clearset.storage import checked_broadcast, materialize, release
 COUNTED = 1.6
 #: Common shingles that prefixes are long enough to promise (all of a set, if it has fewer).
 SHARED = 4
-#: Frequent shingles are broadcast: at most this many by construction of their threshold.
-FREQUENT = 1 << 20
-#: Classes that hold a shingle of a first or second prefix for it to give pairs directly; leaders
-#: of any other one.
+#: Frequent shingles are broadcast: at most this many by construction of their threshold, which is looked
+#: for among counts up to COUNTS.
+FREQUENT, COUNTS = 1 << 20, 4096
+#: Classes that hold a shingle of a first or second prefix for it to give pairs directly (of a first one as
+#: many as a frequent shingle has to exceed, if that is more); leaders of any other one.
 FEW, FEW_AGAIN, LEADERS = 16, 48, 2
 FRAGMENTS = 8
 #: Shingles and classes of one block of a cluster, and columns that a task multiplies at once.
@@ -79,8 +81,21 @@ def counted_below(percent: int) -> np.uint64:
     return np.uint64(min(255, int(256 * COUNTED * (100 - percent) / 100) + 1) << 56)
 
 
-def frequent_shingles(docs: DataFrame, percent: int, words: int) -> DataFrame:
-    """Counted shingles of more documents than max(FEW, counted rows / FREQUENT): (shingle)."""
+def threshold(counts: DataFrame) -> int:
+    """The least number of documents, FEW at least, that no more than FREQUENT of the shingles ``counts``
+    (n, of more than FEW documents) exceed."""
+    held = counts.groupBy(F.least("n", F.lit(COUNTS)).alias("n")).agg(F.count("*").alias("shingles"), F.sum("n").alias("rows")).orderBy(F.desc("n")).collect()  # COUNTS rows at most
+    above = 0
+    for r in held:
+        above += r["shingles"]
+        if above > FREQUENT:
+            # of those beyond COUNTS at most rows / (rows / FREQUENT) pass
+            return r["n"] if r["n"] < COUNTS else max(COUNTS, r["rows"] // FREQUENT)
+    return FEW
+
+
+def frequent_shingles(docs: DataFrame, percent: int, words: int) -> tuple[DataFrame, int]:
+    """((shingle) of the counted shingles that are frequent, the number of documents that each exceeds)."""
     top = counted_below(percent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,11 +107,10 @@ def frequent_shingles(docs: DataFrame, percent: int, words: int) -> DataFrame:
 
     counts = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > FEW)
     counts = materialize(counts, "shingle-counts")
-    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # at most rows / (rows / FREQUENT) of them pass
-    frequent = materialize(counts.where(F.col("n") > max(FEW, rows // FREQUENT)).select("shingle"), "frequent-shingles")
+    most = threshold(counts)
+    frequent = materialize(counts.where(F.col("n") > most).select("shingle"), "frequent-shingles")
     release(counts)
-    return frequent
+    return frequent, most
 
 
 def shingle_classes(docs: DataFrame, frequent: DataFrame, percent: int, words: int) -> DataFrame:
@@ -296,11 +310,13 @@ def leader_pairs(many: DataFrame, percent: int) -> DataFrame:
     return met.where((F.col("a") != F.col("b")) & fits(F.col("na"), F.col("nb"), percent)).distinct()
 
 
-def links(shared: DataFrame, texts_of, percent: int) -> DataFrame:
+def links(shared: DataFrame, texts_of, percent: int, few: int = FEW) -> DataFrame:
     """Enough links (a, b) to connect all classes that are linked; ``shared``: the table of prefix
-    shingles (shingle, v, n, df), ``texts_of``: a function from classes (v) to their segments."""
-    first = materialize(direct_pairs(shared.where(F.col("df") <= FEW), percent), "candidates")
-    hot = materialize(shared.where(F.col("df") > FEW).select("v", "n").distinct(), "frequent-classes")
+    shingles (shingle, v, n, df), ``texts_of``: a function from classes (v) to their segments,
+    ``few``: classes that hold a shingle for it to give pairs directly.  Prefixes take shingles of up to
+    that many first, so a class with a more common one consists of little else."""
+    first = materialize(direct_pairs(shared.where(F.col("df") <= few), percent), "candidates")
+    hot = materialize(shared.where(F.col("df") > few).select("v", "n").distinct(), "frequent-classes")
     release(shared)
     wanted = first.select(F.col("a").alias("v")).union(first.select("b")).union(hot.select("v")).distinct()
     segs = materialize(texts_of(wanted), "segments")
@@ -343,7 +359,7 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> D
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("rk"), "text")
     small_batches(docs.sparkSession)
-    frequent = frequent_shingles(docs, percent, words)
+    frequent, most = frequent_shingles(docs, percent, words)
     sets = materialize(shingle_classes(docs, frequent, percent, words).withColumn("uid", F.monotonically_increasing_id()), "shingle-sets")
     release(frequent)
     # equal sets are one class, told apart by 64 bits; its first row stands for it
@@ -364,7 +380,7 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 80, words: int = 5) -> D
         # rows that are equal share a key: one of them stands for the class
         return segments(docs.join(checked_broadcast(first), "rk").dropDuplicates(["v"]), words)
 
-    found = links(shared, segments_of, percent)
+    found = links(shared, segments_of, percent, most)
     linked = materialize(parts_of(found), "components")
     named = classes.select("v", "doc", "size").join(linked, "v", "left")
     named = named.where("size > 1 OR part IS NOT NULL").select("v", "doc", F.coalesce("part", "v").alias("component"))

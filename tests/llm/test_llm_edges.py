@@ -577,3 +577,33 @@ def test_workers_give_large_blocks_back():
     last = bytearray(b"x" * 100_000)
     del kept
     assert resident() - before < 24 << 20 and last
+
+
+def test_threshold_of_frequent_shingles_is_exact_and_changes_no_component(spark, monkeypatch):
+    from clearset.llm import ngram_join
+
+    counts = lambda *n: spark.createDataFrame([(i, x) for i, x in enumerate(n)], "shingle long, n long")
+    many = counts(*[17] * 10, *[20] * 5, *[5000] * 3)
+    assert ngram_join.threshold(many) == ngram_join.threshold(many.limit(0)) == ngram_join.FEW
+    monkeypatch.setattr(ngram_join, "FREQUENT", 5)
+    assert ngram_join.threshold(many) == 20  # three exceed it, eight exceed 19; rows / FREQUENT would be 3,054
+    monkeypatch.setattr(ngram_join, "FREQUENT", 2)
+    assert ngram_join.threshold(many) == 7500
+    words = [f"w{k}" for k in range(30)]
+    texts = [" ".join([*words[: 20 + i % 3], f"own{i // 4}"]) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    few = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicate_components(docs, 90, 3).collect()}
+    sets = [{tuple(t.split()[p : p + 3]) for p in range(len(t.split()) - 2)} for t in texts]
+    parent = list(range(120))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(120):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    assert few == {i: root(i) for i in range(120)}
